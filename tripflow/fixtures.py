@@ -75,15 +75,15 @@ STAGE_RUN_COLUMNS = {
     "run_id": "CAST(event_id AS VARCHAR(20))",
     "created_at": "ts",
     "status": "CASE WHEN value < 2e0 THEN 'failed' WHEN value < 4e0 THEN 'skipped' ELSE 'success' END",
-    "rows_processed": "CAST(value * 100e0 AS BIGINT)",
+    "rows_processed": "event_id % 5000",
     "duration_seconds": "value",
 }
 
 # Three stand-in models: a prediction per trip, computed from its own columns.
 MODEL_COLUMNS = {
-    "by_distance": "60e0 + trip_distance",
-    "by_fare": "40e0 + fare_amount / 5e0",
-    "constant": "90e0",
+    "by_distance": "60e0 + trip_distance / 7e0",
+    "by_fare": "40e0 + fare_amount / 7e0",
+    "constant": "630.5e0 / 7e0",
 }
 
 

@@ -35,13 +35,18 @@ MAX_BATCH = 100
 
 
 def parse_requests(df: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text → one text column per field, ``raw`` struct; an absent field is null."""
+    """JSON text → one text column per field, ``raw_<field>``; an absent field is null.
+
+    ``inline`` makes the parsed fields a step of their own. As a plain projection the parse
+    would be copied into every expression and filter that uses a field.
+    """
     fields = ", ".join(f"{name} STRING" for name, _, _ in schema.REQUEST_FIELDS)
-    return df.withColumn("raw", F.from_json(value, fields)).drop(value)
+    parsed = df.select(*[c for c in df.columns if c != value], F.inline(F.array(F.from_json(value, fields))))
+    return parsed.withColumnsRenamed({name: f"raw_{name}" for name, _, _ in schema.REQUEST_FIELDS})
 
 
 def _typed(name: str, kind: str) -> Column:
-    text = F.col(f"raw.{name}")
+    text = F.col(f"raw_{name}")
     if kind == "timestamp_ntz":
         # Accepts both "2025-01-15T08:30:00" and the form with a blank.
         return text.try_cast("timestamp_ntz")
@@ -51,7 +56,7 @@ def _typed(name: str, kind: str) -> Column:
 def _request_rules() -> dict[str, Column]:
     rules = {}
     for name, kind, default in schema.REQUEST_FIELDS:
-        value, given = F.col(name), F.col(f"raw.{name}").isNotNull()
+        value, given = F.col(name), F.col(f"raw_{name}").isNotNull()
         broken = value.isNull() if default is None else given & value.isNull()
         low, high = schema.REQUEST_BOUNDS.get(name, (None, None))
         if kind == "double":
@@ -77,7 +82,7 @@ def validate_requests(df: DataFrame, value: str = "value") -> DataFrame:
         for name, kind, default in schema.REQUEST_FIELDS
         if default is not None
     }
-    return marked.withColumns(defaults).drop("raw")
+    return marked.withColumns(defaults).drop(*[f"raw_{name}" for name, _, _ in schema.REQUEST_FIELDS])
 
 
 def accepted(validated: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tripflow import schema
 from tripflow.functions import time, trip
 
 
-def with_all_columns(df: DataFrame) -> DataFrame:
+def with_all_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The declared projection; optional columns a source lacks become typed nulls."""
     missing = [c for c in schema.REQUIRED_COLUMNS if c not in df.columns]
     if missing:
@@ -18,7 +20,8 @@ def with_all_columns(df: DataFrame) -> DataFrame:
         *[
             F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema.BRONZE
-        ]
+        ],
+        *keep,
     )
 
 
@@ -51,7 +54,10 @@ def cap_tip(df: DataFrame) -> DataFrame:
     return df.withColumn("tip_amount", trip.cap_tip(F.col("tip_amount"), F.col("fare_amount")))
 
 
-def clean(bronze: DataFrame) -> DataFrame:
-    """Bronze to silver: 21 columns, valid rows, imputed and limited values. Narrow, no shuffle."""
-    valid = keep_valid(with_duration(with_all_columns(bronze)))
+def clean(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Bronze to silver: 21 columns, valid rows, imputed and limited values. Narrow, no shuffle.
+
+    ``keep`` names further source columns to carry along, such as a row key.
+    """
+    valid = keep_valid(with_duration(with_all_columns(bronze, keep)))
     return cap_tip(clamp_rate_code(impute_defaults(valid)))

@@ -582,7 +582,7 @@ DRIFT = {
     " SUM(CASE WHEN p > 0 THEN 0 ELSE q END) AS new_share,"
     " CASE WHEN n_values = 2 THEN MAX(CASE WHEN from_top = 1 THEN (p - q) / SQRT((n_ref + n_cur) * 1e0 / (ref_rows + cur_rows)"
     " * (1 - (n_ref + n_cur) * 1e0 / (ref_rows + cur_rows)) * (1e0 / ref_rows + 1e0 / cur_rows)) END) END AS z"
-    " FROM shares GROUP BY ALL",
+    " FROM shares GROUP BY c, ref_rows, cur_rows, n_values, is_numeric",
     "detected": "SELECT compared.c AS c, is_numeric, ref_rows, cur_rows, n_values, new_share,"
     " CASE WHEN is_numeric AND n_values > 5 THEN 'wasserstein' ELSE 'js' END AS method,"
     " CASE WHEN is_numeric AND n_values > 5 THEN w1 / GREATEST(sd, 0.001) ELSE js END AS score"

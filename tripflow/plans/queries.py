@@ -50,11 +50,13 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
     return silver.clean(fixtures.trips(spark, sf))
 
 
-def _keyed_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver rows that keep their trip key, for queries that need a stable order or a row identity."""
-    return silver.cap_tip(
-        silver.clamp_rate_code(silver.impute_defaults(silver.keep_valid(silver.with_duration(_trips(spark, sf)))))
-    )
+def _silver_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver with the trip key, written as the pipeline does: what follows reads it several times.
+
+    Reading a written layer also keeps the generated code of cleaning and of feature
+    engineering in separate stages; fused, the method is too long for the JVM to compile.
+    """
+    return storage.written(silver.clean(_trips(spark, sf), keep=KEY), "silver")
 
 
 # --- flagship ------------------------------------------------------------------------------
@@ -265,19 +267,21 @@ TRANSCENDENTAL = ["sin_hour", "cos_hour", "sin_day_of_week", "cos_day_of_week",
 
 @query
 def gold_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(gold.engineer(_silver(spark, sf)), TRANSCENDENTAL)
+    return rounded(gold.engineer(_silver_layer(spark, sf)).drop(*KEY), TRANSCENDENTAL)
 
 
 # --- encode, scale, split ------------------------------------------------------------------
 
 
 def _split_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold with its split, written: the fits below read it several times."""
-    return storage.written(split.time_split(gold.engineer(_silver(spark, sf))), "gold")
+    """Gold with key and split, written: the fits below read it several times."""
+    trips = _silver_layer(spark, sf)
+    labelled = split.time_split(gold.engineer(trips), thresholds=split.split_thresholds(trips))
+    return storage.written(labelled, "gold")
 
 
 def _split_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return split.time_split(_keyed_silver(spark, sf))
+    return split.time_split(_silver_layer(spark, sf))
 
 
 @query
@@ -485,11 +489,8 @@ def feature_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _assembled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, encode.Encoders, DataFrame]:
-    """Assembled model table (with a row key), gold, encoders."""
-    trips = gold.route_features(gold.distance_features(gold.time_features(_keyed_silver(spark, sf))))
-    lookup = storage.written(gold.count_lookup(_silver(spark, sf)), "trip-counts")
-    featured = gold.with_counts(gold.fare_features(trips), lookup).drop(schema.DROPOFF, "total_amount")
-    table = storage.written(split.time_split(featured), "gold")
+    """Assembled training and validation rows with their key, encoders, gold."""
+    table = _split_gold(spark, sf)
     encoded, encoders = encode.model_table(table)
     rows = models.assemble(encoded).select(*KEY, models.VECTOR, models.LABEL, "split")
     return rows.where("split = 'train'"), rows.where("split = 'val'"), encoders, table
@@ -649,7 +650,7 @@ def score_lookup_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def align_features(spark: SparkSession, sf: str) -> DataFrame:
-    trips = gold.route_features(encode.encode_binary(_keyed_silver(spark, sf)))
+    trips = gold.route_features(encode.encode_binary(silver.clean(_trips(spark, sf), keep=KEY)))
     return encode.align_features(trips, keep=KEY)
 
 
