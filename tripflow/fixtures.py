@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.sources.storage import spread
+
 _OFFSET = "(l_orderkey * 7919 + l_linenumber * 3571) % 86400"
 _FARE = "l_extendedprice / 200e0 - 10e0"
 
@@ -100,7 +102,7 @@ def _order_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
 
 
 def trips(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:

@@ -59,6 +59,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
 # --- scan and inventory --------------------------------------------------------------------
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer tasks than the session has cores; leave larger ones alone.
+
+    A few files of one row group each would keep all later work in a few tasks. A scan that
+    fills the cluster is never shuffled by this.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.isStreaming or scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)
+
+
 def scan_landed(spark: SparkSession, root: str, pattern: str = LANDED_PATTERN) -> DataFrame:
     """All landed files under ``root`` in one read; columns a file lacks come back null."""
     return (
