@@ -116,26 +116,16 @@ def share_statistics(frequencies: DataFrame) -> DataFrame:
         return F.when(share > 0, share * F.log(share / middle)).otherwise(0.0)
 
     expected = p * F.col("cur_rows")
-    value = F.struct("number", "category")
-    stats = (
-        frequencies.join(sides, "column")
-        .groupBy("column", "ref_rows", "cur_rows", "n_values", "is_numeric")
-        .agg(
-            (F.sum(part(p) + part(q)) / 2.0).alias("_js2"),
-            F.sum(F.when(p > 0, F.pow(F.col("n_cur") - expected, F.lit(2.0)) / expected).otherwise(0.0)).alias("chi2"),
-            F.sum(F.when(p > 0, 0.0).otherwise(q)).alias("new_share"),
-            F.max_by(F.col("n_ref"), value).alias("_ref_hits"),
-            F.max_by(F.col("n_cur"), value).alias("_cur_hits"),
-        )
+    squared = F.pow(F.col("n_cur") - expected, F.lit(2.0))
+    labelled = frequencies.join(sides, "column")
+    stats = labelled.groupBy("column", "ref_rows", "cur_rows", "n_values", "is_numeric").agg(
+        (F.sum(part(p) + part(q)) / 2.0).alias("_js2"),
+        F.sum(F.when(p > 0, F.try_divide(squared, expected)).otherwise(0.0)).alias("chi2"),
+        F.sum(F.when(p > 0, 0.0).otherwise(q)).alias("new_share"),
     )
     both = (F.col("ref_rows") > 0) & (F.col("cur_rows") > 0)
-    ref_share = F.try_divide(F.col("_ref_hits").cast("double"), F.col("ref_rows"))
-    cur_share = F.try_divide(F.col("_cur_hits").cast("double"), F.col("cur_rows"))
-    pooled = F.try_divide((F.col("_ref_hits") + F.col("_cur_hits")).cast("double"), F.col("ref_rows") + F.col("cur_rows"))
-    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("ref_rows")) + F.try_divide(F.lit(1.0), F.col("cur_rows"))))
-    z = F.when(both & (F.col("n_values") == 2), F.try_divide(ref_share - cur_share, spread))
     chi2_p = F.when(F.col("new_share") > 0, 0.0).otherwise(chi_square_sf(F.col("chi2"), F.col("n_values") - 1))
-    return stats.select(
+    return stats.join(F.broadcast(_proportion_z(labelled)), "column", "left").select(
         "column",
         "ref_rows",
         "cur_rows",
@@ -145,9 +135,21 @@ def share_statistics(frequencies: DataFrame) -> DataFrame:
         F.when(both, F.col("chi2")).alias("chi2"),
         F.when(both, chi2_p).alias("chi2_p"),
         "new_share",
-        z.alias("z"),
-        two_sided_normal_p(z).alias("z_p"),
+        "z",
+        two_sided_normal_p(F.col("z")).alias("z_p"),
+    )
+
+
+def _proportion_z(labelled: DataFrame) -> DataFrame:
+    """z of the greater value's share, for columns of exactly two values (two rows each)."""
+    hits = labelled.where("n_values = 2 AND ref_rows > 0 AND cur_rows > 0").groupBy("column", "ref_rows", "cur_rows").agg(
+        F.max_by(F.struct("n_ref", "n_cur"), F.struct("number", "category")).alias("_hit")
     )
+    n_ref, n_cur = F.col("_hit.n_ref").cast("double"), F.col("_hit.n_cur").cast("double")
+    pooled = (n_ref + n_cur) / (F.col("ref_rows") + F.col("cur_rows"))
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("ref_rows") + 1 / F.col("cur_rows")))
+    z = F.try_divide(n_ref / F.col("ref_rows") - n_cur / F.col("cur_rows"), spread)
+    return hits.select("column", z.alias("z"))
 
 
 def drift_columns(
