@@ -28,3 +28,8 @@ def final_plan(df) -> str:
     """The plan after execution, with what AQE changed."""
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted_plan(df) -> str:
+    jvm = df.sparkSession._jvm
+    return jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

@@ -13,9 +13,9 @@ def _select(columns: dict[str, str]) -> str:
     return ", ".join(f"{expr} AS {name}" for name, expr in columns.items())
 
 
-def r(expr: str) -> str:
-    """Six places; adding zero turns a negative zero into zero."""
-    return f"(ROUND({expr}, 6) + 0e0)"
+def r(expr: str, places: int = 6) -> str:
+    """Fewer places; adding zero turns a negative zero into zero."""
+    return f"(ROUND({expr}, {places}) + 0e0)"
 
 
 ORDER_LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -172,7 +172,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["zone_hour_summary"] = over(
     "silver",
     f"SELECT CAST(PULocationID AS INTEGER) AS PULocationID, CAST(hour({P}) AS INTEGER) AS pickup_hour,"
-    f" COUNT(*) AS trips, {r('AVG(trip_duration_min)')} AS mean_duration_min FROM silver GROUP BY 1, 2",
+    f" COUNT(*) AS trips, {r('AVG(trip_duration_min)', 8)} AS mean_duration_min FROM silver GROUP BY 1, 2",
 )
 ORACLES["scan_trips"] = f"SELECT {_select(fixtures.TRIP_COLUMNS)} FROM {ORDER_LINES}"
 MONTH = f"CAST(year({P}) AS INTEGER) AS year, CAST(month({P}) AS INTEGER) AS month"
