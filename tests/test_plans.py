@@ -22,7 +22,7 @@ FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 @pytest.fixture(scope="module")
 def bronze(spark, sf):
     path = storage.shared_path(spark, "bronze")
-    storage.write_layer(storage.with_month(fixtures.trips(spark, sf)), path)
+    storage.write_layer(storage.with_month(fixtures.trips(spark, sf)), path, rebalance=True)
     return storage.scan_layer(spark, path)
 
 
@@ -51,6 +51,20 @@ def test_month_filter_prunes_partitions(spark, bronze):
     assert re.search(r"PartitionFilters: \[.*year#\d+ = 1997.*month#\d+ = 3", plan)
 
 
+def test_refresh_scans_only_pending_months(spark, bronze):
+    months = bronze.where("year = 1995 AND month IN (2, 5) OR year = 1996 AND month = 1").select("year", "month").distinct().collect()
+    pruned = bronze.where(storage.months_condition(months))
+    assert {(r.year, r.month) for r in pruned.select("year", "month").distinct().collect()} == {(1995, 2), (1995, 5), (1996, 1)}
+    scan = re.search(r"PartitionFilters: \[(.*)\]", formatted_plan(pruned)).group(1)
+    assert "1995" in scan and "1996" in scan
+
+
+def test_count_lookup_scans_trips_once(spark, bronze):
+    plan = final_plan(gold.count_lookup(silver.clean(bronze)))
+    assert_sound(plan)
+    assert schema.PICKUP not in plan
+
+
 def test_gold_joins_once_and_broadcasts_a_small_lookup(spark, bronze):
     plan = final_plan(gold.engineer(silver.clean(bronze)))
     assert_sound(plan)

@@ -73,7 +73,8 @@ def count_lookup(silver: DataFrame) -> DataFrame:
     Plain equality joins, so a null zone has no count. Two pairs can share a route text
     ('237' from a null pickup or a null dropoff), hence the count per text.
     """
-    pairs = pair_counts(silver)
+    # Written: each of the four uses below would otherwise scan and shuffle the trips again.
+    pairs = written(pair_counts(silver), "pair-counts")
     return (
         pairs.join(_rolled_up(pairs, "PULocationID", "pickup_zone_trip_count"), [*MONTH, "PULocationID"], "left")
         .join(_rolled_up(pairs, "DOLocationID", "dropoff_zone_trip_count"), [*MONTH, "DOLocationID"], "left")

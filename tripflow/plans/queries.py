@@ -88,7 +88,7 @@ def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def land_months(spark: SparkSession, sf: str) -> DataFrame:
-    return storage.land_months(fixtures.trips(spark, sf), storage.shared_path(spark, "bronze"))
+    return storage.land_months(fixtures.trips(spark, sf), storage.shared_path(spark, "bronze"), rebalance=True)
 
 
 def _ledger(months: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def pending_partitions(spark: SparkSession, sf: str) -> DataFrame:
 def refresh_layer(spark: SparkSession, sf: str) -> DataFrame:
     """Two refreshes of silver from a written bronze: first the old years, then whatever is missing."""
     bronze_path, ledger, out = (storage.shared_path(spark, n) for n in ("bronze", "ledger", "silver"))
-    storage.write_layer(storage.with_month(fixtures.trips(spark, sf)), bronze_path)
+    storage.write_layer(storage.with_month(fixtures.trips(spark, sf)), bronze_path, rebalance=True)
     bronze = storage.scan_layer(spark, bronze_path)
     storage.refresh_layer(bronze.where(F.col("year") <= COMMITTED_UNTIL), ledger, out, silver.clean)
     storage.refresh_layer(bronze, ledger, out, silver.clean)
@@ -121,7 +121,7 @@ def refresh_layer(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def write_layer(spark: SparkSession, sf: str) -> DataFrame:
     path = storage.shared_path(spark, "silver")
-    storage.write_layer(storage.with_month(_silver(spark, sf)), path)
+    storage.write_layer(storage.with_month(_silver(spark, sf)), path, rebalance=True)
     written = storage.scan_layer(spark, path)
     return rounded(
         written.groupBy(*storage.PARTITIONS).agg(

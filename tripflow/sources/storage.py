@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,9 +167,16 @@ def write_layer(
     compression: str = "zstd",
     max_records: int = 0,
     mode: str = "overwrite",
+    rebalance: bool = False,
 ) -> None:
-    """Partitioned parquet write. The rebalance hint lets AQE join small and split hot partitions."""
-    writer = df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    """Partitioned parquet write.
+
+    Sources that come by month need no shuffle: a task holds few months and writes few files.
+    For others, ``rebalance`` shuffles by month first, and AQE splits hot months and joins small ones.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
     (
         writer.option("compression", compression)
         .option("maxRecordsPerFile", max_records)
@@ -182,13 +189,13 @@ def month_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(*PARTITIONS).agg(F.count("*").alias("rows"))
 
 
-def land_months(bronze: DataFrame, path: str) -> DataFrame:
+def land_months(bronze: DataFrame, path: str, rebalance: bool = False) -> DataFrame:
     """Write bronze by month in one job, then report rows per month found in the written table.
 
     ``status`` is 'success' only where the written rows equal the source rows.
     """
     source = with_month(bronze)
-    write_layer(source, path)
+    write_layer(source, path, rebalance=rebalance)
     found = month_counts(scan_layer(bronze.sparkSession, path)).withColumnRenamed("rows", "written_rows")
     same = F.coalesce(F.col("written_rows"), F.lit(-1)) == F.col("rows")
     return (
@@ -208,6 +215,18 @@ def pending_partitions(source_months: DataFrame, ledger: DataFrame) -> DataFrame
     return source_months.join(committed, PARTITIONS, "left_anti")
 
 
+def months_condition(months: list[Row]) -> Column:
+    """The listed months as a plain condition on the partition columns, so that the scan is pruned.
+
+    A semi join with the list would read every partition: pruning at run time needs a filter on its side.
+    """
+    condition = F.lit(False)
+    for year in sorted({m["year"] for m in months}):
+        of_year = sorted(m["month"] for m in months if m["year"] == year)
+        condition = condition | ((F.col("year") == year) & F.col("month").isin(of_year))
+    return condition
+
+
 def refresh_layer(
     source: DataFrame,
     ledger_path: str,
@@ -216,8 +235,8 @@ def refresh_layer(
 ) -> DataFrame:
     """Process only pending months: overwrite their partitions, then append them to the ledger.
 
-    ``source`` is partitioned by month, so the semi join prunes the scan. A crash between the
-    two writes leaves the months pending; the next run overwrites the same partitions.
+    ``source`` is partitioned by month. A crash between the two writes leaves the months
+    pending; the next run overwrites the same partitions. Returns the ledger rows added.
     """
     spark = source.sparkSession
     try:
@@ -226,12 +245,13 @@ def refresh_layer(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         ledger = spark.createDataFrame([], schema.LEDGER)
-    # Fixed before the writes: the same months must be written and then committed.
-    pending = written(pending_partitions(month_counts(source), ledger), "pending")
-    rows = source.join(pending.select(*PARTITIONS), PARTITIONS, "left_semi")
-    write_layer(with_month(transform(rows)), out_path)
-    commit = pending.select("year", "month", "rows", F.lit("committed").alias("status"))
-    commit.write.mode("append").parquet(ledger_path)
+    # One row per calendar month; taken once, as the same months must be written and then committed.
+    pending = pending_partitions(month_counts(source), ledger).collect()
+    committed = [(m["year"], m["month"], m["rows"], "committed") for m in pending]
+    commit = spark.createDataFrame(committed, schema.LEDGER)
+    if pending:
+        write_layer(with_month(transform(source.where(months_condition(pending)))), out_path)
+        commit.write.mode("append").parquet(ledger_path)
     return commit
 
 
