@@ -95,6 +95,17 @@ def test_prediction_shift(spark):
     assert rows[NOON + dt.timedelta(hours=1)] == pytest.approx((18.0, 15.0, 3.0))
 
 
+def test_prediction_shift_as_stream(spark, sf):
+    events = fixtures.table(spark, sf, "events")
+    stream = run.read_files(spark, sf, events.schema, "events.parquet")
+    streamed = run.prediction_shift_stream(fixtures.prediction_log_from(stream))
+    closed = events.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
+    batch = monitor.prediction_shift(fixtures.prediction_log(spark, sf)).where(F.col("window_end") <= F.lit(closed))
+    exact = lambda f: queries.rounded(f.select(sorted(batch.columns)))
+    assert exact(batch).where("shift IS NOT NULL").count() > 0
+    assert exact(batch).exceptAll(exact(streamed)).isEmpty() and exact(streamed).exceptAll(exact(batch)).isEmpty()
+
+
 def test_scores_of_stream_and_batch(spark, sf):
     """Request validation and features hold no state, so a stream of requests scores like a batch."""
     from tripflow.operators import score

@@ -28,7 +28,6 @@ DEFAULT_SCALING = {
 }
 DEFAULT_MEAN_TARGET = 16.975
 COUNT_COLUMNS = ["pickup_zone_trip_count", "dropoff_zone_trip_count", "route_trip_count"]
-MAX_BATCH = 100
 
 
 # --- contract ------------------------------------------------------------------------------

@@ -150,22 +150,45 @@ def window_means(log: DataFrame, window: str = RATE_WINDOW) -> DataFrame:
     return _window_columns(counted.select("window", mean.alias("mean_prediction")))
 
 
-def compare_with_earlier(means: DataFrame, earlier: DataFrame | None = None, back: str = "1 hour") -> DataFrame:
-    """Each window beside the one ``back`` before it; joins windows, not log rows.
+def prediction_shift(log: DataFrame, back: str = "1 hour") -> DataFrame:
+    """Mean prediction of each window beside the mean of the window ``back`` before it; batch only.
 
-    As a stream: call it in ``foreachBatch`` with the batch's windows and the sink table.
+    Each window gives its mean to itself and to the later window, so one scan of the log and
+    one small shuffle of windows do; a self join would aggregate the log twice.
     """
-    before = (means if earlier is None else earlier).select(
+    later = F.expr(f"INTERVAL {back}")
+    none = F.lit(None).cast("double")
+
+    def given(shift: Column | None) -> Column:
+        start, end = F.col("window_start"), F.col("window_end")
+        return F.struct(
+            (start if shift is None else start + shift).alias("window_start"),
+            (end if shift is None else end + shift).alias("window_end"),
+            F.lit(shift is None).alias("_own"),
+            (F.col("mean_prediction") if shift is None else none).alias("mean_prediction"),
+            (none if shift is None else F.col("mean_prediction")).alias("mean_prediction_before"),
+        )
+
+    both = window_means(log).select(F.inline(F.array(given(None), given(later))))
+    compared = both.groupBy("window_start", "window_end").agg(
+        F.max("_own").alias("_own"),
+        F.max("mean_prediction").alias("mean_prediction"),
+        F.max("mean_prediction_before").alias("mean_prediction_before"),
+    )
+    return _with_shift(compared.where("_own").drop("_own"))
+
+
+def compare_with_earlier(means: DataFrame, earlier: DataFrame, back: str = "1 hour") -> DataFrame:
+    """New window means beside those of a table of earlier ones, such as a stream's sink."""
+    before = earlier.select(
         (F.col("window_start") + F.expr(f"INTERVAL {back}")).alias("window_start"),
         F.col("mean_prediction").alias("mean_prediction_before"),
     )
-    return means.join(before, "window_start", "left").withColumn(
-        "shift", F.col("mean_prediction") - F.col("mean_prediction_before")
-    )
+    return _with_shift(means.join(before, "window_start", "left"))
 
 
-def prediction_shift(log: DataFrame) -> DataFrame:
-    return compare_with_earlier(window_means(log))
+def _with_shift(compared: DataFrame) -> DataFrame:
+    return compared.withColumn("shift", F.col("mean_prediction") - F.col("mean_prediction_before"))
 
 
 def throughput(log: DataFrame) -> DataFrame:

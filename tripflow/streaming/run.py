@@ -45,6 +45,12 @@ def monitor_stream(log: DataFrame, summary: Callable[[DataFrame], DataFrame] = m
     return _run_to_table(summary(monitor.with_watermark(log, delay)), "monitor")
 
 
+def prediction_shift_stream(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """The shift against one hour before, over the window means the stream has written."""
+    means = monitor_stream(log, monitor.window_means, delay)
+    return monitor.compare_with_earlier(means, means)
+
+
 def score_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run the batch scoring function over a request stream (it holds no state between rows)."""
     return _run_to_table(score(requests), "scores")
