@@ -45,10 +45,18 @@ def test_late_rows_are_dropped(spark, tmp_path):
                  [(1, "/predict", None, 0.1, 5.0, 1), (55, "/predict", None, 0.1, 5.0, 1), (120, "/predict", None, 0.1, 5.0, 1)]):
         log(spark, *rows).coalesce(1).write.mode("append").parquet(folder)
     stream = run.read_files(spark, folder, spark.read.parquet(folder).schema, max_files=1)
-    found = {r.window_start: r.requests for r in run.monitor_stream(stream).collect()}
+    out = str(tmp_path / "out")
+    activity = monitor.endpoint_activity(monitor.with_watermark(stream))
+    query = run.run_available(activity, out, str(tmp_path / "checkpoint"))
+    assert run.late_rows(query) == 1
+    found = {r.window_start: r.requests for r in spark.read.parquet(out).collect()}
     at = lambda minutes: NOON + dt.timedelta(minutes=minutes)
     # 12:01 came an hour late; 12:55 was within ten minutes of 13:00.
     assert found == {at(0): 1, at(55): 1, at(60): 1, at(65): 1}
+    # The same checkpoint goes on after the files already read.
+    log(spark, (180, "/predict", None, 0.1, 5.0, 1)).coalesce(1).write.mode("append").parquet(folder)
+    run.run_available(activity, out, str(tmp_path / "checkpoint"))
+    assert {r.window_start: r.requests for r in spark.read.parquet(out).collect()} == {**found, at(120): 1}
 
 
 def test_request_totals_as_stream(spark, tmp_path):

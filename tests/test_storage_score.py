@@ -35,6 +35,24 @@ def test_inventory(spark, tmp_path):
     assert total.datasets == 3 and total.files == 4 and total.bytes > 0
 
 
+def test_scan_landed(spark, tmp_path):
+    def month(value):
+        return spark.createDataFrame([(1, value)], "VendorID int, trip_distance double").coalesce(1)
+
+    month(1.0).toPandas().astype({"VendorID": "int32"}).to_parquet(tmp_path / "trip_01.parquet")
+    month(2.0).write.parquet(str(tmp_path / "2025/may/trip_05.parquet"))
+    month(3.0).write.parquet(str(tmp_path / "2025/may/other"))
+    found = storage.scan_landed(spark, str(tmp_path))
+    assert found.columns == schema.BRONZE.fieldNames()
+    assert sorted((r.trip_distance, r.VendorID, r.fare_amount) for r in found.collect()) == [(1.0, 1, None), (2.0, 1, None)]
+
+
+def test_landing_report(spark, sf, tmp_path):
+    report = storage.land_months(fixtures.trips(spark, sf), str(tmp_path / "bronze")).collect()
+    assert {r.status for r in report} == {"success"}
+    assert sum(r.rows for r in report) == fixtures.trips(spark, sf).count()
+
+
 def test_validate_columns(spark, tmp_path):
     good = spark.createDataFrame([], schema.BRONZE)
     good.coalesce(1).write.parquet(str(tmp_path / "good"))
@@ -133,7 +151,10 @@ def test_scaling(spark):
 def test_state_survives_storage(spark, sf):
     table = queries._split_gold(spark, sf)
     encoded, encoders = encode.model_table(table)
-    stored = encode.Encoders.from_rows(storage.written(encoders.as_rows(), "state"))
+    path = storage.shared_path(spark, "model-table")
+    encode.save_model_table(encoded, encoders, path)
+    assert {r.split for r in spark.read.parquet(f"{path}/splits").select("split").distinct().collect()} == {"train", "test", "val"}
+    stored = encode.load_encoders(spark, path)
     assert stored.levels == encoders.levels and stored.scaling == encoders.scaling
     again = encode.apply_encoders(encode.drop_leakage(table), stored)
     columns = sorted(encoded.columns)

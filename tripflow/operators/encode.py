@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import schema
@@ -207,6 +207,16 @@ def align_features(df: DataFrame, features: list[str] = schema.FEATURES, keep: l
     )
 
 
+def save_model_table(table: DataFrame, encoders: Encoders, path: str, compression: str = "snappy") -> None:
+    """Write the splits (a folder each) and the whole fitted state beside them."""
+    table.write.mode("overwrite").partitionBy("split").option("compression", compression).parquet(f"{path}/splits")
+    encoders.as_rows().write.mode("overwrite").parquet(f"{path}/state")
+
+
+def load_encoders(spark: SparkSession, path: str) -> Encoders:
+    return Encoders.from_rows(spark.read.parquet(f"{path}/state"))
+
+
 def model_table(split_gold: DataFrame) -> tuple[DataFrame, Encoders]:
     """Gold rows with ``split`` → encoded, scaled rows; state is fitted on 'train' only.
 

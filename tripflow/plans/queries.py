@@ -363,8 +363,11 @@ def ml_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def fitted_state(spark: SparkSession, sf: str) -> DataFrame:
-    _, encoders = encode.model_table(_split_gold(spark, sf))
-    return rounded(encoders.as_rows())
+    """The state as stored beside the splits and read back."""
+    table, encoders = encode.model_table(_split_gold(spark, sf))
+    path = storage.shared_path(spark, "model-table")
+    encode.save_model_table(table, encoders, path)
+    return rounded(encode.load_encoders(spark, path).as_rows())
 
 
 @query

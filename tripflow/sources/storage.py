@@ -71,14 +71,27 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores)
 
 
+def _dataset(path: Column, pattern: str) -> Column:
+    """The dataset a file belongs to: itself if its name fits, its folder if that fits, else null."""
+    fits = fnmatch.translate(pattern)
+    steps = F.split(path, "/")
+    own_name, folder = F.element_at(steps, -1).rlike(fits), F.element_at(steps, -2).rlike(fits)
+    return F.when(own_name, path).when(folder, F.regexp_replace(path, "/[^/]*$", ""))
+
+
 def scan_landed(spark: SparkSession, root: str, pattern: str = LANDED_PATTERN) -> DataFrame:
-    """All landed files under ``root`` in one read; columns a file lacks come back null."""
-    return (
+    """All landed datasets under ``root`` in one read, single files and Spark folders alike.
+
+    Columns a file lacks come back null. Files outside the pattern are left out by path,
+    before any of their rows is read.
+    """
+    files = (
         spark.read.schema(schema.BRONZE)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
+        .option("pathGlobFilter", "*.parquet")
         .parquet(root)
     )
+    return files.where(_dataset(F.col("_metadata.file_path"), pattern).isNotNull())
 
 
 def scan_layer(spark: SparkSession, path: str, layer_schema: T.StructType | None = None) -> DataFrame:
@@ -108,15 +121,9 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = LANDED_PATTERN
 
     A missing root has no datasets; a folder holding only ``_SUCCESS`` is none either.
     """
-    name = F.element_at(F.split("path", "/"), -1)
-    folder = F.element_at(F.split("path", "/"), -2)
-    fits = fnmatch.translate(pattern)
-    dataset = F.when(name.rlike(fits), F.col("path")).when(
-        folder.rlike(fits), F.regexp_replace("path", "/[^/]*$", "")
-    )
     return (
         list_files(spark, root)
-        .select(dataset.alias("dataset"), "bytes")
+        .select(_dataset(F.col("path"), pattern).alias("dataset"), "bytes")
         .where("dataset IS NOT NULL")
         .groupBy("dataset")
         .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))

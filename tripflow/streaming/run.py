@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.sources.storage import shared_path
 from tripflow.streaming import monitor
@@ -20,12 +21,21 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, pattern:
     return reader.parquet(folder)
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str, partition_by: list[str] | None = None) -> None:
+def run_available(stream: DataFrame, out: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
     """Process what is there, then stop. Restarting with the same checkpoint goes on where it ended."""
     writer = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.trigger(availableNow=True).start(out).awaitTermination()
+    query = writer.trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    return query
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark dropped in the query's recent batches, counted after partial aggregation."""
+    return sum(
+        operator.numRowsDroppedByWatermark for progress in query.recentProgress for operator in progress.stateOperators
+    )
 
 
 def _run_to_table(stream: DataFrame, name: str) -> DataFrame:
@@ -39,8 +49,7 @@ def monitor_stream(log: DataFrame, summary: Callable[[DataFrame], DataFrame] = m
                    delay: str = "10 minutes") -> DataFrame:
     """Run a windowed summary over a log stream; windows the watermark has closed, as a table.
 
-    Rows later than ``delay`` are dropped by the engine and counted in the query's progress
-    (``numRowsDroppedByWatermark``).
+    Rows later than ``delay`` are dropped; ``late_rows`` counts them for a query of your own.
     """
     return _run_to_table(summary(monitor.with_watermark(log, delay)), "monitor")
 
