@@ -243,7 +243,7 @@ def test_lookup_counts_fall_back_to_the_mean(spark, sf):
     table = queries._split_gold(spark, sf)
     train = table.where("split = 'train'")
     _, encoders = encode.model_table(table)
-    lookups = score.fit_count_lookups(train)
+    lookups = score.fit_lookups(train)
     zone = train.select("PULocationID").first()[0]
     known, unseen = {**REQUEST, "PULocationID": zone}, {**REQUEST, "PULocationID": 10**6}
     rows = score.model_features(score.accepted(validated(spark, known, unseen)), encoders, lookups, keep=["i"]).orderBy("i").collect()
@@ -263,3 +263,30 @@ def test_prediction_is_clipped_and_rounded(spark):
     model = LinearRegression(maxIter=20).fit(rows)
     found = {r.i: r.predicted_duration_minutes for r in score.predict(model, features, ["i"]).collect()}
     assert found[0] == 0.0 and found[1] == pytest.approx(12.35, abs=0.02)
+
+
+# --- shared folder -------------------------------------------------------------------------
+
+
+class NoFolderSession:
+    """Stands in for a session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(NoFolderSession("yarn"))
+    alone = NoFolderSession("local[4]")
+    assert storage.shared_folder(alone) == storage.shared_folder(alone) == alone.folder

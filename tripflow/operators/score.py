@@ -112,26 +112,31 @@ COUNT_KEYS = {
 }
 
 
-def fit_count_lookups(train: DataFrame) -> dict[str, DataFrame]:
-    """Mean training count per zone and route, a written table each (small ones get broadcast)."""
-    return {
-        count: written(
-            train.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.avg(count).alias("_count")),
-            f"mean-{count}",
-        )
-        for count, key in COUNT_KEYS.items()
-    }
+def fit_lookups(train: DataFrame, target: str = schema.TARGET) -> dict[str, DataFrame]:
+    """Mean training count per zone and route, and per zone the mean target; a written table each.
+
+    One table per key, so a request is joined once per key. Small tables get broadcast.
+    """
+    lookups = {}
+    for count, key in COUNT_KEYS.items():
+        means = [F.avg(count).alias("_count")]
+        if key in schema.TARGET_ENCODED_COLUMNS:
+            means.append(F.avg(target).alias("_target"))
+        known = train.where(F.col(key).isNotNull())
+        lookups[count] = written(known.groupBy(F.col(key).alias("_key")).agg(*means), f"mean-{count}")
+    return lookups
 
 
-def with_lookup_counts(features: DataFrame, scaling: dict[str, tuple[float, float]], lookups: dict[str, DataFrame]) -> DataFrame:
-    """Counts from the fitted tables; unseen zones and routes get the training mean."""
+def with_lookups(features: DataFrame, encoders: encode.Encoders, lookups: dict[str, DataFrame]) -> DataFrame:
+    """Counts and target encodings from the fitted tables; unseen zones and routes get the training means."""
+    overall = encode.global_mean(encoders.means)
     for count, key in COUNT_KEYS.items():
-        found = lookups[count].withColumnRenamed("_key", f"_{key}")
-        features = (
-            features.join(found, F.col(key) == F.col(f"_{key}"), "left")
-            .withColumn(count, F.coalesce("_count", F.lit(scaling[count][0])))
-            .drop(f"_{key}", "_count")
+        features = features.join(lookups[count], F.col(key) == F.col("_key"), "left").withColumn(
+            count, F.coalesce("_count", F.lit(encoders.scaling[count][0]))
         )
+        if key in encoders.target_columns:
+            features = features.withColumn(f"{key}_encoded", F.coalesce("_target", overall))
+        features = features.drop("_key", "_count", "_target")
     return features
 
 
@@ -159,10 +164,11 @@ def model_features(
         features = encode.encode_onehot(features, SERVING_LEVELS)
     else:
         scaling = encoders.scaling
-        features = (
-            with_default_counts(features, scaling) if lookups is None else with_lookup_counts(features, scaling, lookups)
-        )
-        features = encode.encode_target(features, encoders.means, encoders.target_columns)
+        if lookups is None:
+            features = with_default_counts(features, scaling)
+            features = encode.encode_target(features, encoders.means, encoders.target_columns)
+        else:
+            features = with_lookups(features, encoders, lookups)
         features = encode.encode_onehot(features, encoders.levels)
     return encode.align_features(encode.scale_features(features, scaling), keep=keep)
 

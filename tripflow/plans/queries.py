@@ -647,7 +647,7 @@ def request_features(spark: SparkSession, sf: str) -> DataFrame:
 def score_lookup_features(spark: SparkSession, sf: str) -> DataFrame:
     table = _split_gold(spark, sf)
     _, encoders = encode.model_table(table)
-    lookups = score.fit_count_lookups(table.where("split = 'train'"))
+    lookups = score.fit_lookups(table.where("split = 'train'"))
     features = score.model_features(score.accepted(_requests(spark, sf)), encoders, lookups, keep=KEY)
     return rounded(features.select(*KEY, *score.COUNT_COLUMNS, "DOLocationID_encoded", "PULocationID_encoded"))
 
@@ -662,7 +662,7 @@ def _scorer(spark: SparkSession, sf: str) -> Callable[[DataFrame], DataFrame]:
     """A linear model trained on the training split, as a function from request JSON to predictions."""
     train, _, encoders, table = _assembled(spark, sf)
     model = models.fit("ridge", {"alpha": 1.0}, train)
-    lookups = score.fit_count_lookups(table.where("split = 'train'"))
+    lookups = score.fit_lookups(table.where("split = 'train'"))
 
     def apply(requests: DataFrame) -> DataFrame:
         good = score.accepted(score.validate_requests(requests))
