@@ -5,7 +5,7 @@ the first piece is shorter. Only the histogram of piece lengths, at most ``capac
 reaches the driver. There the linear program over patterns (multisets of lengths that fit
 one sequence) is solved by multiplicative weights: each length has a price that falls as it gets covered, and a
 knapsack over the capacity finds the dearest pattern. Scaled so that nothing is covered twice, the pattern counts are rounded
-down; what is left goes through the same again until it is small, and that rest is packed best-fit decreasing.
+down; what is left goes through the same again until rounding leaves nearly all, and that rest is packed best-fit decreasing.
 
 A pattern used k times gives, for each of its places, k slots of one length in k sequences. Pieces of a
 length are numbered in ranges of a hash of their document and take the slots in order, so
@@ -130,18 +130,21 @@ def dearest_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> d
     return dict(out)
 
 
-def fractional(counts: dict[int, int], capacity: int, rounds: int, sharpness: float) -> list[tuple[dict[int, int], float]]:
+def fractional(
+    counts: dict[int, int], first: dict[int, float], capacity: int, rounds: int, sharpness: float
+) -> list[tuple[dict[int, int], float]]:
     """Patterns (length -> times) with amounts that cover no length more often than its count.
 
-    Multiplicative weights: the price of a length is its size times exp(-sharpness * coverage).
+    Multiplicative weights: the price of a length starts at ``first`` and is multiplied by
+    exp(-sharpness * coverage), so that what lags behind gets dearer against the rest.
     """
     lengths = np.array(sorted(counts), dtype=np.int64)
     needs = np.array([counts[int(v)] for v in lengths], dtype=float)
+    start = np.array([first[int(v)] for v in lengths])
     covered = np.zeros(len(lengths))
     amounts: dict[tuple, float] = {}
     for _ in range(rounds):
-        values = lengths * np.exp(-sharpness * (covered - covered.min()))
-        pattern = dearest_pattern(lengths, values, capacity)
+        pattern = dearest_pattern(lengths, start * np.exp(-sharpness * (covered - covered.min())), capacity)
         index, times = np.array(list(pattern)), np.array(list(pattern.values()))
         amount = float((needs[index] / times).min()) / sharpness
         covered[index] += times * amount / needs[index]
@@ -151,29 +154,70 @@ def fractional(counts: dict[int, int], capacity: int, rounds: int, sharpness: fl
     return [({int(lengths[i]): t for i, t in key}, amount / most) for key, amount in amounts.items()]
 
 
-def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Best-fit decreasing: each length goes to the fullest sequence that has room."""
-    rooms: list[tuple[int, int]] = []
-    bins: list[list[int]] = []
-    for length in sorted(lengths, reverse=True):
-        at = bisect.bisect_left(rooms, (length, -1))
-        if at == len(rooms):
-            bins.append([])
-            room, number = capacity, len(bins) - 1
-        else:
-            room, number = rooms.pop(at)
-        bins[number].append(length)
-        bisect.insort(rooms, (room - length, number))
-    return bins
+def best_fit(counts: dict[int, int], capacity: int) -> dict[tuple[int, ...], int]:
+    """Best-fit decreasing over a histogram: each length goes to the fullest sequences that have room.
+
+    Sequences of equal content are handled together, so the work follows the lengths, not the counts.
+    """
+    rooms: list[int] = []  # ascending, with the sequences of each room by content
+    groups: dict[int, Counter] = {}
+
+    def put(room: int, content: tuple[int, ...], times: int) -> None:
+        if room not in groups:
+            bisect.insort(rooms, room)
+            groups[room] = Counter()
+        groups[room][content] += times
+
+    for length in sorted(counts, reverse=True):
+        left = counts[length]
+        while left:
+            at = bisect.bisect_left(rooms, length)
+            if at == len(rooms):
+                each = capacity // length
+                if left >= each:
+                    put(capacity - each * length, (length,) * each, left // each)
+                    left %= each
+                else:
+                    put(capacity - left * length, (length,) * left, 1)
+                    left = 0
+                continue
+            room = rooms[at]
+            content, there = groups[room].popitem()
+            # As many into each as fit: those would be the fullest ones after the first.
+            each = min(room // length, left)
+            times = min(there, left // each)
+            if times < there:
+                groups[room][content] = there - times
+            elif not groups[room]:
+                del groups[room]
+                rooms.pop(at)
+            put(room - each * length, content + (length,) * each, times)
+            left -= each * times
+    out: Counter = Counter()
+    for group in groups.values():
+        out.update(group)
+    return out
+
+
+def prices(packed: dict[tuple[int, ...], int]) -> dict[int, float]:
+    """What a piece of each length costs in a packing: its part of what its sequence holds, on the mean."""
+    cost: Counter = Counter()
+    pieces_of: Counter = Counter()
+    for lengths, times in packed.items():
+        filled = sum(lengths)
+        for k in lengths:
+            cost[k] += times * k / filled
+            pieces_of[k] += times
+    return {k: cost[k] / pieces_of[k] for k in cost}
 
 
 def solve(
-    counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 150, sharpness: float = 8.0, rest: int = 1_000
+    counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 150, sharpness: float = 8.0
 ) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths, longest first) with the number of sequences of each; all counts are used up.
 
-    The program is solved anew for what rounding leaves, until at most ``rest`` pieces remain for
-    best-fit, or rounding leaves nearly all.
+    The program is solved anew for what rounding leaves, until rounding leaves nearly all; the
+    rest is packed best-fit decreasing. The first prices are those of a best-fit packing.
     """
     left = {k: v for k, v in counts.items() if v}
     used: Counter = Counter()
@@ -181,17 +225,18 @@ def solve(
         used[(capacity,)] = left.pop(capacity)
     while left:
         before = sum(left.values())
-        for pattern, amount in fractional(left, capacity, rounds, sharpness):
+        first = prices(best_fit(left, capacity))
+        for pattern, amount in fractional(left, first, capacity, rounds, sharpness):
             times = min(int(amount), *(left.get(k, 0) // t for k, t in pattern.items()))
             if times:
                 for k, t in pattern.items():
                     left[k] -= t * times
                 used[tuple(sorted((k for k, t in pattern.items() for _ in range(t)), reverse=True))] += times
         left = {k: v for k, v in left.items() if v}
-        if sum(left.values()) <= rest or sum(left.values()) > 0.95 * before:  # small counts round to nothing
+        if sum(left.values()) > 0.9 * before:  # small counts round to nothing
             break
-    for lengths in best_fit([k for k, v in left.items() for _ in range(v)], capacity):
-        used[tuple(lengths)] += 1
+    for lengths, times in best_fit(left, capacity).items():
+        used[lengths] += times
     return sorted(used.items(), reverse=True)
 
 
