@@ -11,9 +11,9 @@ The smallest hashes kept are ``min(keys, n - ceil(t n) + 1)``. The second number
 misses nothing. For larger sets, ``keys`` = 20 hashes in random order miss a link at the very threshold
 with a chance of 0.25 ** 20, about 1e-12, and a closer one less often; ``keys=None`` always takes the whole prefix.
 
-Hot tiles. In a first step every node of a tile is compared with one pivot only, which joins
-nearly all of a large group of copies at linear cost. Later, only nodes that are still in different
-components meet, in square cells of at most ``cell`` rows a side, so that a tile of any size is many
+Hot tiles. In the first rounds every node of a tile is compared with one pivot only, another one in each
+tile, which joins nearly all of a large group of copies at linear cost. Later, only nodes that are still in
+different components meet, in square cells of at most ``cell`` rows a side, so that a tile of any size is many
 small pieces of work; cells emit the pairs that pass the bitmaps, not all pairs.
 
 Defined results: null or empty texts have the empty set and are linked with nothing. Rows with a
@@ -72,8 +72,8 @@ def band(n: int, threshold: int = LINK_AT) -> int:
 
 
 def band_bits(level: int, threshold: int = LINK_AT) -> int:
-    """Bits of the bitmaps that band ``level`` is compared with: a power of two above its sizes."""
-    return 1 << min(16, max(6, math.ceil(level * math.log2(100 / threshold) + 1e-9)))
+    """Bits of the bitmaps that band ``level`` is compared with: a power of two, twice its sizes or more."""
+    return 1 << min(17, max(7, 1 + math.ceil(level * math.log2(100 / threshold) + 1e-9)))
 
 
 def parity_bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -255,6 +255,30 @@ def tiles(nodes: DataFrame, threshold: int = LINK_AT) -> DataFrame:
     return banded.select(F.xxhash64("key", "base").alias("tile"), "base", "node", "n", "level")
 
 
+def pivot_pairs(tiled: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int, threshold: int = LINK_AT) -> DataFrame:
+    """Pairs of each tile's pivot and the tile's other nodes that size and bitmaps let pass.
+
+    The pivot is the own-band node that comes first by a hash of tile, node and turn, so that a node meets
+    another pivot in each of its tiles. Nodes that are in the pivot's component already are left out.
+    """
+    rooted = tiled.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    draw = F.struct(F.xxhash64("tile", "node", F.lit(turn)), "node", "root")
+    pivots = rooted.where("level = base").groupBy("tile").agg(F.min(draw).alias("p"))
+    pairs = (
+        rooted.join(pivots.select("tile", "p.node", "p.root").toDF("tile", "pivot", "pivot_root"), "tile")
+        .where("root <> pivot_root")
+        .select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
+        .distinct()
+    )
+    sized = nodes.select("node", F.col("n_shingles").alias("n"), "bits")
+    return (
+        pairs.join(sized.toDF("a", "n_a", "bits_a"), "a")
+        .join(sized.toDF("b", "n_b", "bits_b"), "b")
+        .where(may_link(F.col("n_a"), F.col("n_b"), threshold))
+        .mapInPandas(lambda batches: close_bits(batches, threshold), "a binary, b binary")
+    )
+
+
 def candidate_pairs(
     tiled: DataFrame, nodes: DataFrame, roots: DataFrame, cell: int = 1024, threshold: int = LINK_AT
 ) -> DataFrame:
@@ -285,7 +309,8 @@ def candidate_pairs(
 
 
 def join(
-    documents: DataFrame, width: int = 5, keys: int | None = 20, threshold: int = LINK_AT, cell: int = 1024
+    documents: DataFrame, width: int = 5, keys: int | None = 20, threshold: int = LINK_AT, cell: int = 1024,
+    pivot_rounds: int = 2,
 ) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``, ``links`` and ``stays`` of each row.
 
@@ -307,24 +332,16 @@ def join(
     )
     tiled = common.stored(tiles(nodes, threshold), "jaccard-tiles")
 
-    pivots = tiled.where("level = base").groupBy("tile").agg(F.min("node").alias("pivot"))
-    near_pivot = (
-        tiled.join(pivots, "tile")
-        .where("node <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    n_and_bits = nodes.select("node", F.col("n_shingles").alias("n"), "bits")
-    sized = (
-        near_pivot.join(n_and_bits.toDF("a", "n_a", "bits_a"), "a")
-        .join(n_and_bits.toDF("b", "n_b", "bits_b"), "b")
-        .where(may_link(F.col("n_a"), F.col("n_b"), threshold))
-        .mapInPandas(lambda batches: close_bits(batches, threshold), "a binary, b binary")
-    )
-    first = common.stored(_check(sized, nodes, sketched, documents, width, threshold), "jaccard-pivot-links")
-    roots = components(first)
+    links = None
+    roots = spark.createDataFrame([], "node binary, root binary")
+    for turn in range(pivot_rounds):
+        close = pivot_pairs(tiled, nodes, roots, turn, threshold)
+        found = _check(close, nodes, sketched, documents, width, threshold)
+        links = common.stored(found if links is None else found.union(links), "jaccard-pivot-links")
+        roots = components(links)
     rest = candidate_pairs(tiled, nodes, roots, cell, threshold)
-    links = common.stored(_check(rest, nodes, sketched, documents, width, threshold).union(first), "jaccard-links")
+    found = _check(rest, nodes, sketched, documents, width, threshold)
+    links = common.stored(found if links is None else found.union(links), "jaccard-links")
     roots = components(links)
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
