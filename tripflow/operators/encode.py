@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from tripflow import schema
 from tripflow.sources.storage import written
 
-MAX_LEVELS = 1000
-
 
 def drop_leakage(df: DataFrame) -> DataFrame:
     return df.drop(*schema.LEAKAGE_COLUMNS, *schema.NON_PREDICTIVE_COLUMNS)
@@ -40,11 +38,8 @@ def category_levels(df: DataFrame, columns: list[str] = schema.ONEHOT_COLUMNS) -
 
 
 def fit_levels(df: DataFrame, columns: list[str] = schema.ONEHOT_COLUMNS) -> dict[str, list[int]]:
-    """Sorted levels without the first, per column. Refuses columns with too many levels."""
-    limit = MAX_LEVELS * len(columns)
-    rows = category_levels(df, columns).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"One-hot columns {columns} have more than {limit} levels")
+    """Sorted levels without the first, per column: one per 0/1 column that the caller asks for."""
+    rows = category_levels(df, columns).collect()
     return {c: sorted(r["level"] for r in rows if r["column"] == c)[1:] for c in columns}
 
 

@@ -90,8 +90,12 @@ def schema_fingerprint(df: DataFrame) -> str:
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
-    """Schema hash, row count and an order-free hash of all values; one row."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    """Schema hash, row count and an order-free hash of all values; one row.
+
+    A hash skips nulls, so where a row's nulls are is hashed with its values.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    row_hash = F.xxhash64(*columns, *[c.isNull() for c in columns]).cast("decimal(38,0)")
     return df.agg(F.count("*").alias("rows"), F.sum(row_hash).cast("string").alias("content_hash")).select(
         F.lit(schema_fingerprint(df)).alias("schema_hash"), "rows", "content_hash"
     )

@@ -177,7 +177,10 @@ def model_features(
 
 
 def predict(model: Model, features: DataFrame, keep: list[str]) -> DataFrame:
-    """Predicted minutes: never below 0, rounded to 2 places."""
-    scored = model.transform(assemble(features))
-    minutes = F.round(F.greatest(F.col(PREDICTION), F.lit(0.0)), 2)
+    """Predicted minutes: never below 0, rounded to 2 places. One row per request: null if a feature is missing."""
+    whole = F.lit(True)
+    for name in schema.FEATURES:
+        whole = whole & ~F.isnan(F.coalesce(F.col(name).cast("double"), F.lit(float("nan"))))
+    scored = model.transform(assemble(features.withColumn("_whole", whole), invalid="keep"))
+    minutes = F.when(F.col("_whole"), F.round(F.greatest(F.col(PREDICTION), F.lit(0.0)), 2))
     return scored.select(*keep, minutes.alias("predicted_duration_minutes"))

@@ -30,8 +30,16 @@ def require_columns(report: DataFrame) -> None:
 
 
 def validate_counts(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Rows of every file behind a scan. With a budget, ``within_budget`` tells if the total fits."""
-    counts = df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("rows"))
+    """Rows of every file behind a scan, by path: files of one name in different folders stay apart.
+
+    With a budget, ``within_budget`` tells if the total fits.
+    """
+    path = F.col("_metadata.file_path")
+    counts = (
+        df.groupBy(path.alias("file_path"))
+        .agg(F.count("*").alias("rows"))
+        .select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "rows")
+    )
     if max_rows is None:
         return counts
     total = counts.agg(F.sum("rows")).scalar()

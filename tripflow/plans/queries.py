@@ -162,7 +162,8 @@ def validate_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def validate_counts(spark: SparkSession, sf: str) -> DataFrame:
     lines = validate.validate_counts(fixtures.table(spark, sf, "lineitem"), max_rows=2_000_000)
-    return lines.unionByName(validate.validate_counts(fixtures.table(spark, sf, "orders"), max_rows=2_000_000))
+    orders = validate.validate_counts(fixtures.table(spark, sf, "orders"), max_rows=2_000_000)
+    return lines.unionByName(orders).drop("file_path")
 
 
 @query

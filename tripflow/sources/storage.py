@@ -49,9 +49,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage in a way that survives lost executors, and gives the planner the true
     size: a join against the result is broadcast only while the files are under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it.
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it. Gone when the driver ends.
     """
     path = shared_path(df.sparkSession, name)
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
