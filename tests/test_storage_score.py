@@ -47,10 +47,49 @@ def test_scan_landed(spark, tmp_path):
     assert sorted((r.trip_distance, r.VendorID, r.fare_amount) for r in found.collect()) == [(1.0, 1, None), (2.0, 1, None)]
 
 
-def test_landing_report(spark, sf, tmp_path):
-    report = storage.land_months(fixtures.trips(spark, sf), str(tmp_path / "bronze")).collect()
-    assert {r.status for r in report} == {"success"}
-    assert sum(r.rows for r in report) == fixtures.trips(spark, sf).count()
+def test_scan_landed_with_differing_types(spark, tmp_path):
+    pickup = dt.datetime(2025, 1, 2, 3)
+    kinds = {
+        "trip_01": ("RatecodeID bigint, passenger_count double, tpep_pickup_datetime timestamp_ntz", (1, 2.0, pickup)),
+        "trip_02": ("RatecodeID int, passenger_count int, tpep_pickup_datetime timestamp", (2, 3, pickup)),
+        "trip_03": ("RatecodeID double, passenger_count bigint, airport_fee float", (float("nan"), 4, 1.5)),
+        "trip_04": ("RatecodeID bigint", (2**40,)),
+    }
+    for name, (kind, row) in kinds.items():
+        spark.createDataFrame([row], kind).coalesce(1).write.parquet(str(tmp_path / "2025" / name) + ".parquet")
+    found = storage.scan_landed(spark, str(tmp_path), with_source=True)
+    assert found.columns == [*schema.BRONZE.names, storage.SOURCE]
+    assert [f.dataType for f in found.schema][:-1] == [f.dataType for f in schema.BRONZE]
+    rows = {r.source_file.rsplit("/", 1)[1]: (r.RatecodeID, r.passenger_count, r.tpep_pickup_datetime, r.Airport_fee) for r in found.collect()}
+    assert rows == {
+        "trip_01.parquet": (1, 2, pickup, None),
+        "trip_02.parquet": (2, 3, pickup, None),
+        "trip_03.parquet": (None, 4, None, 1.5),
+        "trip_04.parquet": (None, None, None, None),
+    }
+    assert storage.scan_landed(spark, str(tmp_path / "nowhere")).collect() == []
+
+
+def _landing(spark, *rows):
+    pickups = [(s, p and dt.datetime(*p), i) for s, p, i in rows]
+    return spark.createDataFrame(pickups, "source_file string, tpep_pickup_datetime timestamp_ntz, i int")
+
+
+def test_landing_report(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    january = [("01", (2025, 1, d), d) for d in range(1, 11)] + [("01", None, 50)]
+    report = storage.land_months(_landing(spark, *january), path).collect()
+    assert {(r.source_file, r.year, r.month, r.rows, r.status) for r in report} == {
+        ("01", 2025, 1, 10, "success"), ("01", None, None, 1, "success")}
+    # February holds a stray of January, and an empty pickup of its own.
+    february = [("02", (2025, 2, 1), 60), ("02", (2025, 1, 31), 61), ("02", None, 62)]
+    report = storage.land_months(_landing(spark, *february), path).collect()
+    assert {(r.source_file, r.year, r.month, r.rows, r.status) for r in report} == {
+        ("02", 2025, 2, 1, "success"), ("02", 2025, 1, 1, "success"), ("02", None, None, 1, "success")}
+    assert sorted(r.i for r in storage.scan_layer(spark, path).collect()) == [*range(1, 11), 50, 60, 61, 62]
+    # Landing a file again replaces its rows, also of months it no longer has.
+    storage.land_months(_landing(spark, ("02", (2025, 2, 2), 70)), path)
+    assert sorted(r.i for r in storage.scan_layer(spark, path).collect()) == [*range(1, 11), 50, 70]
 
 
 def test_validate_columns(spark, tmp_path):
@@ -114,12 +153,28 @@ def test_refresh_processes_only_pending_months(spark, tmp_path):
     storage.write_layer(storage.with_month(months((1, 1), (2, 2))), base)
     first = storage.refresh_layer(storage.scan_layer(spark, base), ledger, out, lambda d: d)
     assert {(r.month, r.rows, r.status) for r in first.collect()} == {(1, 1, "committed"), (2, 1, "committed")}
-    # January changes and March arrives; January is committed, so only March is processed.
+    # January gets a late row and March arrives; February is committed as it is.
     storage.write_layer(storage.with_month(months((1, 9), (1, 8), (3, 3))), base)
     second = storage.refresh_layer(storage.scan_layer(spark, base), ledger, out, lambda d: d)
-    assert [(r.month, r.rows) for r in second.collect()] == [(3, 1)]
-    assert {(r.month, r.i) for r in storage.scan_layer(spark, out).collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert {(r.month, r.rows) for r in second.collect()} == {(1, 2), (3, 1)}
+    assert {(r.month, r.i) for r in storage.scan_layer(spark, out).collect()} == {(1, 8), (1, 9), (2, 2), (3, 3)}
     assert spark.read.parquet(ledger).count() == 3
+    # January is as it first was: the ledger knows its latest state only.
+    storage.write_layer(storage.with_month(months((1, 7))), base)
+    third = storage.refresh_layer(storage.scan_layer(spark, base), ledger, out, lambda d: d)
+    assert [(r.month, r.rows) for r in third.collect()] == [(1, 1)]
+    assert storage.refresh_layer(storage.scan_layer(spark, base), ledger, out, lambda d: d).isEmpty()
+
+
+def test_refresh_with_null_pickups(spark, tmp_path):
+    base, ledger, out = (str(tmp_path / n) for n in ("bronze", "ledger", "silver"))
+    rows = [(dt.datetime(2025, 1, 2), 1), (None, 2)]
+    frame = spark.createDataFrame(rows, "tpep_pickup_datetime timestamp_ntz, i int")
+    storage.write_layer(storage.with_month(frame), base)
+    first = storage.refresh_layer(storage.scan_layer(spark, base), ledger, out, lambda d: d)
+    assert {(r.year, r.month, r.rows) for r in first.collect()} == {(2025, 1, 1), (None, None, 1)}
+    assert {r.i for r in storage.scan_layer(spark, out).collect()} == {1, 2}
+    assert storage.refresh_layer(storage.scan_layer(spark, base), ledger, out, lambda d: d).isEmpty()
 
 
 def test_failed_ledger_rows_stay_pending(spark):

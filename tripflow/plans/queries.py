@@ -88,7 +88,8 @@ def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def land_months(spark: SparkSession, sf: str) -> DataFrame:
-    return storage.land_months(fixtures.trips(spark, sf), storage.shared_path(spark, "bronze"), rebalance=True)
+    trips = fixtures.trips(spark, sf).withColumn(storage.SOURCE, F.date_format(schema.PICKUP, "yyyy-MM"))
+    return storage.land_months(trips, storage.shared_path(spark, "bronze"), rebalance=True).drop(storage.SOURCE)
 
 
 def _ledger(months: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ from tripflow import schema
 
 LANDED_PATTERN = "trip_*.parquet"
 PARTITIONS = ["year", "month"]
+SOURCE = "source_file"
 
 
 # --- shared folder -------------------------------------------------------------------------
@@ -81,19 +83,41 @@ def _dataset(path: Column, pattern: str) -> Column:
     return F.when(own_name, path).when(folder, F.regexp_replace(path, "/[^/]*$", ""))
 
 
-def scan_landed(spark: SparkSession, root: str, pattern: str = LANDED_PATTERN) -> DataFrame:
-    """All landed datasets under ``root`` in one read, single files and Spark folders alike.
+def _own_types(found: T.StructType) -> T.StructType:
+    """The declared columns that ``found`` has, under their declared names and with its types."""
+    by_name = {f.name.lower(): f.dataType for f in found}
+    kinds = {f.name: by_name.get(f.name.lower(), T.NullType()) for f in schema.BRONZE}
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items() if kind != T.NullType()])
 
-    Columns a file lacks come back null. Files outside the pattern are left out by path,
-    before any of their rows is read.
+
+def scan_landed(
+    spark: SparkSession, root: str, pattern: str = LANDED_PATTERN, with_source: bool = False
+) -> DataFrame:
+    """All landed datasets under ``root``, single files and Spark folders alike, with the declared types.
+
+    Months differ in their types (integers of either width, counts as doubles). The datasets of
+    one set of types are read together with these and cast; a value that does not fit comes back
+    null, as does a column a dataset lacks. Types come from one footer of each dataset, through
+    Spark's own reader. ``with_source`` adds the dataset's path as ``source_file``. Datasets outside
+    the pattern are not opened; no dataset, no rows.
     """
-    files = (
-        spark.read.schema(schema.BRONZE)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(root)
-    )
-    return files.where(_dataset(F.col("_metadata.file_path"), pattern).isNotNull())
+    groups: dict[T.StructType, list[str]] = {}
+    # One row per landed month, not per part file.
+    for row in file_inventory(spark, root, pattern).collect():
+        own = _own_types(spark.read.parquet(row["dataset"]).schema)
+        groups.setdefault(own, []).append(row["dataset"])
+    source = T.StructField(SOURCE, T.StringType())
+    whole = T.StructType([*schema.BRONZE, source]) if with_source else schema.BRONZE
+    scans = [spark.createDataFrame([], whole)]
+    for own, paths in groups.items():
+        columns = [
+            (F.col(f.name).try_cast(f.dataType) if f.name in own.names else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.BRONZE
+        ]
+        if with_source:
+            columns.append(_dataset(F.col("_metadata.file_path"), pattern).alias(SOURCE))
+        scans.append(spark.read.schema(own).parquet(*paths).select(*columns))
+    return reduce(DataFrame.unionByName, scans[1:] or scans)
 
 
 def scan_layer(spark: SparkSession, path: str, layer_schema: T.StructType | None = None) -> DataFrame:
@@ -198,30 +222,67 @@ def month_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(*PARTITIONS).agg(F.count("*").alias("rows"))
 
 
-def land_months(bronze: DataFrame, path: str, rebalance: bool = False) -> DataFrame:
-    """Write bronze by month in one job, then report rows per month found in the written table.
+def _same(left: str, right: str, columns: list[str]) -> Column:
+    """Equality of the columns of two aliased frames; nulls are equal."""
+    return reduce(Column.__and__, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
 
-    ``status`` is 'success' only where the written rows equal the source rows.
+def land_months(bronze: DataFrame, path: str, source: str = SOURCE, rebalance: bool = False) -> DataFrame:
+    """Write bronze in one job, then report rows per source and pickup month found in the written table.
+
+    The layer is partitioned by ``source``, the column that names the landed file (or its month):
+    landing a file again replaces its own rows and no other's, also where files hold strays of each
+    other's months. Pickup year and month are plain columns. A null pickup has null year and month.
+
+    ``status`` is 'success' only where the written rows equal the source rows. Rows that were there
+    before, from other sources, must be there after; those that differ are reported as 'failed' too.
     """
-    source = with_month(bronze)
-    write_layer(source, path, rebalance=rebalance)
-    found = month_counts(scan_layer(bronze.sparkSession, path)).withColumnRenamed("rows", "written_rows")
-    same = F.coalesce(F.col("written_rows"), F.lit(-1)) == F.col("rows")
+    spark = bronze.sparkSession
+    rows = with_month(bronze)
+    keys = [source, *PARTITIONS]
+
+    def counted(df: DataFrame) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count("*").alias("rows"))
+
+    landing = written(counted(rows).withColumn("landed", F.lit(True)), "landing")
+    expected = landing
+    before = read_if_there(spark, path, rows.schema)
+    if before is not None:
+        others = before.alias("b").join(landing.select(source).distinct().alias("l"), _same("b", "l", [source]), "left_anti")
+        expected = landing.union(written(counted(others).withColumn("landed", F.lit(False)), "landed-before"))
+    write_layer(rows, path, [source], rebalance=rebalance)
+    found = counted(spark.read.schema(rows.schema).parquet(path))
+    success = F.col("e.rows").eqNullSafe(F.col("f.rows"))
     return (
-        month_counts(source)
-        .join(found, PARTITIONS, "left")
+        expected.alias("e")
+        .join(found.alias("f"), _same("e", "f", keys), "full")
         .select(
-            *PARTITIONS,
-            F.coalesce("written_rows", F.lit(-1)).alias("rows"),
-            F.when(same, "success").otherwise("failed").alias("status"),
+            *[F.coalesce(f"e.{k}", f"f.{k}").alias(k) for k in keys],
+            F.coalesce("f.rows", F.lit(-1)).alias("rows"),
+            F.when(success, "success").otherwise("failed").alias("status"),
+            "landed",
         )
+        .where("landed OR status = 'failed'")
+        .drop("landed")
     )
 
 
+def read_if_there(spark: SparkSession, path: str, layer_schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(layer_schema).parquet(path).select(*layer_schema.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def pending_partitions(source_months: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Source months the ledger does not show as committed; leftovers of a failed write stay pending."""
-    committed = ledger.where("status = 'committed'").select(*PARTITIONS)
-    return source_months.join(committed, PARTITIONS, "left_anti")
+    """Source months the ledger does not show as committed with as many rows as they have now.
+
+    Leftovers of a failed write stay pending, and a month that got late rows is pending again.
+    """
+    committed = ledger.where("status = 'committed'").alias("c")
+    return source_months.alias("s").join(committed, _same("s", "c", [*PARTITIONS, "rows"]), "left_anti")
 
 
 def months_condition(months: list[Row]) -> Column:
@@ -230,9 +291,11 @@ def months_condition(months: list[Row]) -> Column:
     A semi join with the list would read every partition: pruning at run time needs a filter on its side.
     """
     condition = F.lit(False)
-    for year in sorted({m["year"] for m in months}):
+    for year in sorted({m["year"] for m in months if m["year"] is not None}):
         of_year = sorted(m["month"] for m in months if m["year"] == year)
         condition = condition | ((F.col("year") == year) & F.col("month").isin(of_year))
+    if any(m["year"] is None for m in months):
+        condition = condition | F.col("year").isNull()
     return condition
 
 
@@ -242,17 +305,15 @@ def refresh_layer(
     out_path: str,
     transform: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Process only pending months: overwrite their partitions, then append them to the ledger.
+    """Process only pending months: overwrite their partitions, then their rows of the ledger.
 
-    ``source`` is partitioned by month. A crash between the two writes leaves the months
-    pending; the next run overwrites the same partitions. Returns the ledger rows added.
+    ``source`` has ``year`` and ``month``; rows without a pickup time are a month of nulls. A crash
+    between the two writes leaves the months pending; the next run overwrites the same partitions. The
+    ledger is partitioned by month, so it holds one row for each. Returns the ledger rows written.
     """
     spark = source.sparkSession
-    try:
-        ledger = spark.read.schema(schema.LEDGER).parquet(ledger_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    ledger = read_if_there(spark, ledger_path, schema.LEDGER)
+    if ledger is None:
         ledger = spark.createDataFrame([], schema.LEDGER)
     # One row per calendar month; taken once, as the same months must be written and then committed.
     pending = pending_partitions(month_counts(source), ledger).collect()
@@ -260,7 +321,7 @@ def refresh_layer(
     commit = spark.createDataFrame(committed, schema.LEDGER)
     if pending:
         write_layer(with_month(transform(source.where(months_condition(pending)))), out_path)
-        commit.write.mode("append").parquet(ledger_path)
+        write_layer(commit.coalesce(1), ledger_path)
     return commit
 
 
