@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Labelled documents that a classifier learns from: the bound of the sample.
+MAX_LABELS = 40_000
+HASHES = 1 << 32
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,16 +59,29 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3, F.lit(0))
 
 
-def labelled(documents: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Text and label (0 or 1) of the documents one may learn from: labelled, and not held out.
+def known_labels(labels: DataFrame, label: str, max_labels: int = MAX_LABELS) -> DataFrame:
+    """``doc_id`` and ``label`` (0 or 1) one may learn from: not held out, ``max_labels`` rows or so.
 
-    Ids labelled twice count once, with the larger label; null labels and texts are left out.
+    Of more labels, a sample by a hash of the id is kept: the same ids in every run, about ``max_labels``
+    of them (the square root of that is one standard deviation), 12 bytes each. So the result can always be
+    broadcast, and the texts it selects need no shuffle of all texts. Ids labelled twice count once,
+    with the larger label; null ids and labels are left out.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold() != 1))
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
     )
+    known = stored(known, "labels")
+    found = known.count()
+    if found <= max_labels:
+        return known
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < HASHES * max_labels // found)
+
+
+def labelled(documents: DataFrame, labels: DataFrame, label: str, max_labels: int = MAX_LABELS) -> DataFrame:
+    """Text and label of the documents in ``known_labels``; null texts are left out."""
+    known = F.broadcast(known_labels(labels, label, max_labels))
     return documents.select("doc_id", "text").where("text IS NOT NULL").join(known, "doc_id")
 
 

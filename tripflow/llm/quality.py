@@ -102,11 +102,14 @@ class Model:
         return F.greatest(F.least(total, F.lit(12.0)), F.lit(-12.0))
 
 
-def fit(featured: DataFrame, labels: DataFrame, penalty: float = 1e-4) -> Model:
-    """Learn from all labelled documents outside the held-out fold. ``featured`` has doc_id and features."""
-    texts = featured.withColumn("text", F.lit(""))
-    known = common.labelled(texts, labels, "quality").select("doc_id", "label").distinct()
-    rows = featured.join(known, "doc_id")
+def fit(
+    featured: DataFrame, labels: DataFrame, penalty: float = 1e-4, max_labels: int = common.MAX_LABELS
+) -> Model:
+    """Learn from labelled documents outside the held-out fold, about ``max_labels`` at most.
+
+    ``featured`` has doc_id and features.
+    """
+    rows = featured.join(F.broadcast(common.known_labels(labels, "quality", max_labels)), "doc_id")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not counts.get(0) or not counts.get(1):
         share = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 1.0

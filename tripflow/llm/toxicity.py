@@ -86,8 +86,9 @@ def fit(
     least_log_odds: float = 4.0,
     cost: float = 0.01,
     max_entries: int = 100_000,
+    max_labels: int = common.MAX_LABELS,
 ) -> Model:
-    """Learn from the labelled documents outside the held-out fold, equal texts counted once.
+    """Learn from labelled documents outside the held-out fold, about ``max_labels`` at most, equal texts counted once.
 
     The Dirichlet prior weighs as much as ``prior_share`` of the texts. An entry is kept if its
     log-odds are at least ``least_log_odds`` and the root of its likelihood ratio against no link
@@ -95,7 +96,7 @@ def fit(
     bounds what is sent to the executors.
     """
     known = (
-        common.labelled(documents, labels, "toxic")
+        common.labelled(documents, labels, "toxic", max_labels)
         .groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("n"))
         .agg(F.max(F.struct("label", "text")).alias("r"))
         .select("r.label", "r.text")
