@@ -110,7 +110,36 @@ def test_new_category_and_empty_side(spark):
     assert (row.new_share, row.chi2_p) == (0.5, 0.0)
     only_reference = drift.column_frequencies(frame.where("is_reference"), [], ["c"])
     row = drift.drift_columns(only_reference).first()
-    assert row.score is None and not row.drifted
+    assert (row.method, row.score, row.emptied, row.drifted) == ("missing", None, True, True)
+
+
+def test_emptied_columns_fail_the_gate(spark):
+    kind = "is_reference boolean, a double, b string, c double, d double"
+    rows = [(True, float(i), "x", None, 1.0 * (i % 3)) for i in range(60)]
+    rows += [(False, None if i % 2 else float("nan"), "x", None, 1.0 * (i % 3)) for i in range(60)]
+    found = drift.drift_columns(drift.column_frequencies(spark.createDataFrame(rows, kind), ["a", "c", "d"], ["b"]))
+    by_name = {r["column"]: r for r in found.collect()}
+    assert (by_name["a"].drifted, by_name["a"].emptied, by_name["a"].cur_missing, by_name["a"].ref_rows) == (True, True, 60, 60)
+    assert (by_name["c"].drifted, by_name["c"].method, by_name["c"].ref_missing) == (False, "missing", 60)
+    assert not by_name["b"].drifted and not by_name["d"].drifted
+    summary = drift.drift_summary(found, "a")
+    row = drift.drift_gate(summary).first()
+    assert (row.n_columns, row.n_drifted, row.emptied_columns, row.passed) == (4, 1, ["a"], False)
+    assert row.violations == ["values on one side only: a"]
+    # Requested columns are there without any row.
+    nothing = drift.drift_columns(drift.column_frequencies(spark.createDataFrame([], kind), ["a"], ["b"]))
+    assert {(r["column"], r.drifted) for r in nothing.collect()} == {("a", False), ("b", False)}
+
+
+def test_chi_square_of_many_degrees(spark):
+    from tripflow.functions.significance import chi_square_sf
+
+    rows = [(9_999.0, 10_000), (10_200.0, 10_000), (10_200.0, 10_001), (9_900.0, 10_001), (3e9, 3_000_000_000), (0.0, 20_000)]
+    frame = spark.createDataFrame(rows, "x double, k long").select("*", chi_square_sf(F.col("x"), F.col("k")).alias("p"))
+    found = {(r.x, r.k): r.p for r in frame.collect()}
+    assert found[10_200.0, 10_000] == pytest.approx(found[10_200.0, 10_001], abs=3e-3)
+    assert found[3e9, 3_000_000_000] == pytest.approx(0.5, abs=1e-4)
+    assert found[0.0, 20_000] == 1.0 and 0.75 < found[9_900.0, 10_001] < 0.77
 
 
 def test_z_test(spark):
@@ -127,7 +156,8 @@ def test_z_test(spark):
      (0.1, None, "pvalue", 0), (0.5, 0.01, "pvalue", 2), (0.1, 0.01, "distance", 0), (0.1, 0.2, "distance", 1)],
 )
 def test_drift_gate(spark, share, score, kind, violations):
-    summary = spark.createDataFrame([(share, score, kind)], "share_drifted double, target_score double, target_score_kind string")
+    columns = "share_drifted double, target_score double, target_score_kind string, emptied_columns array<string>"
+    summary = spark.createDataFrame([(share, score, kind, [])], columns)
     row = drift.drift_gate(summary).first()
     assert len(row.violations) == violations
     assert row.passed == (violations == 0) and row.retrain == (violations > 0)

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SERIES_DEGREES = 10_000
+
 
 def kolmogorov_sf(distance: Column, n_reference: Column, n_current: Column) -> Column:
     """Asymptotic two-sample Kolmogorov–Smirnov p-value."""
@@ -38,7 +40,26 @@ def _log_gamma_next(degrees: Column) -> Column:
 
 
 def chi_square_sf(statistic: Column, degrees: Column) -> Column:
-    """P(χ² > statistic): one minus the series of the regularised lower incomplete gamma function."""
+    """P(χ² > statistic), at any number of degrees.
+
+    Up to ``SERIES_DEGREES`` one minus the series of the regularised lower incomplete gamma function,
+    whose length grows with the degrees; beyond, the cube root of χ² over its degrees is taken as normal,
+    which is off by less than 1e-6 there.
+    """
+    z = _cube_root_z(statistic, degrees.cast("double"))
+    # A normal tail is half of the two-sided one, which is the tail of a χ² with one degree.
+    two_sided = _series_sf(z * z, F.lit(1))
+    normal = F.when(z > 0, two_sided / 2.0).otherwise(1.0 - two_sided / 2.0)
+    series = _series_sf(statistic, F.least(degrees, F.lit(SERIES_DEGREES)))
+    return F.when(statistic.isNull() | (degrees <= SERIES_DEGREES), series).otherwise(F.when(statistic <= 0, 1.0).otherwise(normal))
+
+
+def _cube_root_z(statistic: Column, degrees: Column) -> Column:
+    spread = F.try_divide(F.lit(2.0), 9.0 * degrees)
+    return F.try_divide(F.pow(F.try_divide(statistic, degrees), F.lit(1.0 / 3.0)) - 1.0 + spread, F.sqrt(spread))
+
+
+def _series_sf(statistic: Column, degrees: Column) -> Column:
     degrees = degrees.cast("int")
     half_df, half_x = degrees / F.lit(2.0), statistic / F.lit(2.0)
     # Past this point the tail is below 1e-300.
@@ -63,4 +84,4 @@ def chi_square_sf(statistic: Column, degrees: Column) -> Column:
 
 
 def two_sided_normal_p(z: Column) -> Column:
-    return chi_square_sf(z * z, F.lit(1))
+    return _series_sf(z * z, F.lit(1))

@@ -32,9 +32,11 @@ def label_sides(reference: DataFrame, current: DataFrame) -> DataFrame:
 def column_frequencies(
     labelled: DataFrame, numeric: list[str], categorical: list[str], is_reference: str = "is_reference"
 ) -> DataFrame:
-    """Rows (column, number, category, n_ref, n_cur). Null, NaN and infinite values are left out.
+    """Rows (column, number, category, n_ref, n_cur), one per value, and one per column without either.
 
-    Written to the shared folder: all statistics below read it, the data are scanned once.
+    The latter counts the null, NaN and infinite values; it is there for each requested column, also
+    with counts of zero. Written to the shared folder: all statistics below read it, the data are
+    scanned once.
     """
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     values = [
@@ -44,16 +46,31 @@ def column_frequencies(
         F.struct(F.lit(c).alias("column"), no_number.alias("number"), F.col(c).cast("string").alias("category"))
         for c in categorical
     ]
-    finite = F.col("number").isNotNull() & ~F.isnan("number") & (F.abs("number") < float("inf"))
+    finite = ~F.isnan("number") & (F.abs("number") < float("inf"))
+    requested = labelled.sparkSession.createDataFrame(
+        [(None, c, None, None) for c in [*numeric, *categorical]],
+        "_ref boolean, `column` string, number double, category string",
+    )
     frequencies = (
         labelled.select(F.col(is_reference).alias("_ref"), F.inline(F.array(*values)))
-        .where(finite | F.col("category").isNotNull())
+        .union(requested)
+        .withColumn("number", F.when(finite, F.col("number")))
         .groupBy("column", "number", "category")
         .agg(F.count_if(F.col("_ref")).alias("n_ref"), F.count_if(~F.col("_ref")).alias("n_cur"))
     )
     return written(frequencies, "frequencies")
 
 
+HAS_VALUE = "number IS NOT NULL OR category IS NOT NULL"
+
+
+def missing_values(frequencies: DataFrame) -> DataFrame:
+    """Per requested column: null, NaN and infinite values of both sides."""
+    return frequencies.groupBy("column").agg(
+        *[F.sum(F.when(F.expr(HAS_VALUE), 0).otherwise(F.col(f"n_{s}"))).alias(f"{s}_missing") for s in ("ref", "cur")]
+    )
+
+
 def _sides(frequencies: DataFrame) -> DataFrame:
     """Per column: rows of both sides, number of distinct values, whether it is numeric."""
     return frequencies.groupBy("column").agg(
@@ -107,6 +124,7 @@ def share_statistics(frequencies: DataFrame) -> DataFrame:
     A category the reference never had makes χ² infinite: its p-value is 0 and its share of
     current rows is in ``new_share``; ``chi2`` sums over the known categories.
     """
+    frequencies = frequencies.where(HAS_VALUE)
     sides = F.broadcast(_sides(frequencies))  # one row per tested column
     p = F.try_divide(F.col("n_ref").cast("double"), F.col("ref_rows"))
     q = F.try_divide(F.col("n_cur").cast("double"), F.col("cur_rows"))
@@ -158,16 +176,27 @@ def drift_columns(
     p_value_threshold: float = P_VALUE_THRESHOLD,
     distance_threshold: float = DISTANCE_THRESHOLD,
 ) -> DataFrame:
-    """One row per column: the selected method, its score, what kind of score it is, and the verdict.
+    """One row per requested column: the selected method, its score, what kind of score it is, and the verdict.
 
     Small references use p-values (drift below the threshold), large ones distances (drift at
     or above it). Columns of at most five values, numeric or not, are compared by shares.
+
+    A column with values on one side only has drifted (``emptied``), by the method 'missing' and without a
+    score; one without any value on either side has that method too, and has not drifted.
     """
-    stats = share_statistics(frequencies).join(F.broadcast(ordered_statistics(frequencies)), "column", "left")
+    stats = (
+        missing_values(frequencies)
+        .join(F.broadcast(share_statistics(frequencies)), "column", "left")
+        .join(F.broadcast(ordered_statistics(frequencies)), "column", "left")
+        .fillna(0, ["ref_rows", "cur_rows", "n_values"])
+        .fillna(False, ["is_numeric"])
+        .withColumn("emptied", (F.col("ref_rows") == 0) != (F.col("cur_rows") == 0))
+    )
     ordered = F.col("is_numeric") & (F.col("n_values") > FEW_VALUES)
     small = F.col("ref_rows") <= small_reference_rows
     method = (
-        F.when(small & ordered, "ks")
+        F.when((F.col("ref_rows") == 0) | (F.col("cur_rows") == 0), "missing")
+        .when(small & ordered, "ks")
         .when(small & (F.col("n_values") <= 2), "z")
         .when(small, "chi2")
         .when(ordered, "wasserstein")
@@ -179,33 +208,32 @@ def drift_columns(
         .when(F.col("method") == "z", F.when(F.col("n_values") < 2, F.lit(1.0)).otherwise(F.col("z_p")))
         .when(F.col("method") == "chi2", F.col("chi2_p"))
         .when(F.col("method") == "wasserstein", F.col("wasserstein"))
-        .otherwise(F.col("js"))
+        .when(F.col("method") == "js", F.col("js"))
     )
     is_p = F.col("method").isin("ks", "z", "chi2")
     return (
         stats.withColumn("method", method)
         .withColumn("score", score)
-        .withColumn("score_kind", F.when(is_p, "pvalue").otherwise("distance"))
+        .withColumn("score_kind", F.when(is_p, "pvalue").when(F.col("method") != "missing", "distance"))
         .withColumn("threshold", F.when(is_p, F.lit(p_value_threshold)).otherwise(F.lit(distance_threshold)))
-        .withColumn(
-            "drifted",
-            F.coalesce(F.when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold")), F.lit(False)),
-        )
+        .withColumn("beyond", F.when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold")))
+        .withColumn("drifted", F.col("emptied") | F.coalesce("beyond", F.lit(False)))
         .select(
             "column", "is_numeric", "ref_rows", "cur_rows", "n_values", "new_share",
-            "method", "score", "score_kind", "threshold", "drifted",
+            "method", "score", "score_kind", "threshold", "drifted", "ref_missing", "cur_missing", "emptied",
         )
     )
 
 
 def drift_summary(columns: DataFrame, target: str) -> DataFrame:
-    """One row: counts and share of drifted columns, their names, and the target's own score."""
+    """One row: counts and share of drifted columns, their names, those emptied, and the target's own score."""
     is_target = F.col("column") == target
     return columns.agg(
         F.count("*").alias("n_columns"),
         F.count_if("drifted").alias("n_drifted"),
         F.coalesce(F.try_divide(F.count_if("drifted"), F.count("*")), F.lit(0.0)).alias("share_drifted"),
         F.sort_array(F.collect_list(F.when(F.col("drifted"), F.col("column")))).alias("drifted_columns"),
+        F.sort_array(F.collect_list(F.when(F.col("emptied"), F.col("column")))).alias("emptied_columns"),
         F.max(F.when(is_target, F.col("score"))).alias("target_score"),
         F.max(F.when(is_target, F.col("score_kind"))).alias("target_score_kind"),
         F.max(F.when(is_target, F.col("threshold"))).alias("target_threshold"),
@@ -219,11 +247,15 @@ def drift_gate(
     """Add ``violations``, ``passed`` and ``retrain`` (= not passed).
 
     The share must exceed its limit. A p-value fails below its limit, a distance at or above
-    it; a null target score passes.
+    it; a null target score passes, but any column with values on one side only fails.
     """
     share, score = F.col("share_drifted"), F.col("target_score")
     kind = F.col("target_score_kind")
     checks = F.array(
+        F.when(
+            F.size("emptied_columns") > 0,
+            F.concat(F.lit("values on one side only: "), F.array_join("emptied_columns", ", ")),
+        ),
         F.when(
             share > max_share_drifted,
             F.concat(

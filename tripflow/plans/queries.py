@@ -608,7 +608,8 @@ def drift_ztest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def drift_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(drift.drift_columns(_frequencies(spark, sf, DRIFT_NUMERIC, DRIFT_CATEGORICAL)))
+    found = drift.drift_columns(_frequencies(spark, sf, DRIFT_NUMERIC, DRIFT_CATEGORICAL))
+    return rounded(found.drop("ref_missing", "cur_missing", "emptied"))
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -618,7 +619,7 @@ def _summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def drift_summary(spark: SparkSession, sf: str) -> DataFrame:
-    summary = _summary(spark, sf).withColumn("drifted_columns", F.array_join("drifted_columns", ","))
+    summary = _summary(spark, sf).drop("emptied_columns").withColumn("drifted_columns", F.array_join("drifted_columns", ","))
     return rounded(summary)
 
 
