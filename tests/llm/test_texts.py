@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripflow.llm import common, fingerprint, html_text, packing, quality, token_counts, toxicity
@@ -96,6 +97,19 @@ def test_toxicity_without_labels_or_rows(spark):
 # --- quality -------------------------------------------------------------------------------
 
 
+def test_known_labels_are_bounded_and_stable(spark):
+    rows = [(i, i % 2, None) for i in range(3000)] + [(1, 0, 1), (2, 1, 1), (None, 1, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int, quality int")
+    whole = {r.doc_id: r.label for r in common.known_labels(labels, "toxic").collect()}
+    free = {r.doc_id for r in labels.where((common.fold() != 1) & F.col("doc_id").isNotNull()).collect()}
+    assert whole == {i: max(i % 2, i == 2) for i in free}
+    some = {r.doc_id: r.label for r in common.known_labels(labels, "toxic", 500).collect()}
+    assert 400 < len(some) < 600 and some.items() <= whole.items()
+    again = common.known_labels(labels.repartition(7), "toxic", 500).collect()
+    assert {r.doc_id for r in again} == set(some)
+    assert common.known_labels(labels.limit(0), "toxic").isEmpty()
+
+
 def test_quality_held_out_and_odd_rows(spark):
     docs, labels = tables(spark)
     found = quality.score(docs, labels).collect()
