@@ -121,6 +121,22 @@ def test_components_of_a_long_chain(spark):
     assert found == {**{i: 0 for i in range(1, 41)}, 101: 100}
 
 
+def test_components_of_random_links(spark):
+    draw = random.Random(11)
+    pairs = [(draw.randrange(120), draw.randrange(120)) for _ in range(90)] + [(7, i) for i in range(200, 260)]
+    root = {n: n for p in pairs for n in p}
+    for a, b in pairs:
+        low, high = sorted((root[a], root[b]))
+        root = {n: low if r == high else r for n, r in root.items()}
+    links = spark.createDataFrame([*pairs, *pairs[:9], (None, 4)], "a long, b long")
+    found = {r["node"]: r["root"] for r in components.components(links).collect()}
+    assert found == {n: r for n, r in root.items() if r != n}
+    early = components.components(links, rounds=1).collect()
+    assert len(early) == len({r["node"] for r in early})
+    assert all(root[r["node"]] == root[r["root"]] and r["root"] < r["node"] for r in early)
+    assert components.components(links.limit(0)).count() == components.components(links.limit(0), rounds=1).count() == 0
+
+
 def test_mix_targets_turns_and_odd_rows(spark):
     draw = random.Random(1)
     data = [(i, " ".join(["w"] * draw.randrange(30)), "en", s, 0)

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -332,19 +333,19 @@ def join(
     )
     tiled = common.stored(tiles(nodes, threshold), "jaccard-tiles")
 
-    links = None
+    links = []
     roots = spark.createDataFrame([], "node binary, root binary")
     for turn in range(pivot_rounds):
         close = pivot_pairs(tiled, nodes, roots, turn, threshold)
-        found = _check(close, nodes, sketched, documents, width, threshold)
-        links = common.stored(found if links is None else found.union(links), "jaccard-pivot-links")
-        roots = components(links)
+        links.append(common.stored(_check(close, nodes, sketched, documents, width, threshold), "jaccard-pivot-links"))
+        # Between the turns roots only spare comparisons, so one round will do.
+        roots = components(reduce(DataFrame.union, links), None if turn == pivot_rounds - 1 else 1)
     rest = candidate_pairs(tiled, nodes, roots, cell, threshold)
-    found = _check(rest, nodes, sketched, documents, width, threshold)
-    links = common.stored(found if links is None else found.union(links), "jaccard-links")
-    roots = components(links)
+    links.append(common.stored(_check(rest, nodes, sketched, documents, width, threshold), "jaccard-links"))
+    roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links[-1]))
 
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
+    checked = reduce(DataFrame.union, links).distinct()
+    ends = checked.select(F.col("a").alias("node")).union(checked.select(F.col("b").alias("node")))
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The smallest id, nulls last, and of equal ids the smallest node.
     first_node = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
