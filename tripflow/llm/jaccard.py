@@ -14,7 +14,8 @@ with a chance of 0.25 ** 20, about 1e-12, and a closer one less often; ``keys=No
 Hot tiles. In the first rounds every node of a tile is compared with one pivot only, another one in each
 tile, which joins nearly all of a large group of copies at linear cost. Later, only nodes that are still in
 different components meet, in square cells of at most ``cell`` rows a side, so that a tile of any size is many
-small pieces of work; cells emit the pairs that pass the bitmaps, not all pairs.
+small pieces of work; cells emit the pairs that pass the bitmaps, not all pairs, and a pair of several
+tiles in one of them only.
 
 Defined results: null or empty texts have the empty set and are linked with nothing. Rows with a
 null id take part; a component is named by its smallest non-null id, null if it has none. Repeated rows and
@@ -23,9 +24,9 @@ equal ids with different texts each stay a row. An empty table gives an empty re
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -172,11 +173,13 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = 5, threshold: int
 
 
 def cell_pairs(
-    tile: np.ndarray, level: np.ndarray, base: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, threshold: int
+    tile: np.ndarray, level: np.ndarray, base: np.ndarray, n: np.ndarray, root: np.ndarray, block: np.ndarray,
+    diagonal: np.ndarray, bits: np.ndarray, threshold: int,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of the pairs within equal ``tile`` numbers (sorted) that may be linked and are not in one component.
 
-    All tiles are compared at once, rows at distance 1, then 2, and so on, as long as tiles reach.
+    All tiles are compared at once, rows at distance 1, then 2, and so on, as long as tiles reach. Rows of one
+    block meet in the cell on the diagonal only.
     """
     left, right = [], []
     at = np.arange(len(tile))
@@ -187,7 +190,7 @@ def cell_pairs(
         i, j = at, at + step
         own = (level[i] == base[i]) | (level[j] == base[j])
         sized = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * threshold
-        picked = own & sized & (root[i] != root[j])
+        picked = own & sized & (root[i] != root[j]) & (diagonal[i] | (block[i] != block[j]))
         i, j = i[picked], j[picked]
         if len(i):
             differing = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1).astype(np.int64)
@@ -201,14 +204,16 @@ def cell_pairs(
 
 
 def _tile_search(threshold: int):
-    """Over rows sorted by cell, the pairs (a, b) of nodes that pass size and bitmaps."""
+    """Over rows sorted by cell, the pairs (a, b) of nodes that pass size and bitmaps, each in the tile of their least common key."""
 
     def pairs(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         cells = frame.groupby(["tile", "x", "y"], sort=False).ngroup().to_numpy()
         bases = frame["base"].to_numpy()
         words = np.array([band_bits(int(v), threshold) // 64 for v in bases])
-        nodes = frame["node"].to_numpy()
+        diagonal = (frame["x"] == frame["y"]).to_numpy()
+        nodes, key, keys = frame["node"].to_numpy(), frame["key"].to_numpy(), frame["keys"].to_numpy()
+        below = functools.cache(lambda row: frozenset(keys[row][keys[row] < key[row]].tolist()))
         for size in np.unique(words):
             rows = np.flatnonzero(words == size)
             bits = np.stack([folded(np.frombuffer(b, np.uint64), size) for b in frame["bits"].to_numpy()[rows]])
@@ -218,14 +223,18 @@ def _tile_search(threshold: int):
                 bases[rows],
                 frame["n"].to_numpy()[rows],
                 pd.factorize(frame["root"])[0][rows],
+                frame["block"].to_numpy()[rows],
+                diagonal[rows],
                 bits,
                 threshold,
             )
-            out.append(pd.DataFrame({"a": nodes[rows[i]], "b": nodes[rows[j]]}))
+            i, j = rows[i], rows[j]
+            first = np.array([below(p).isdisjoint(below(q)) for p, q in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
+            out.append(pd.DataFrame({"a": nodes[i[first]], "b": nodes[j[first]]}))
         found = pd.concat(out)
         swap = found["a"].to_numpy() > found["b"].to_numpy()
         found.loc[swap, ["a", "b"]] = found.loc[swap, ["b", "a"]].to_numpy()
-        return found.drop_duplicates()
+        return found
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -245,7 +254,7 @@ def _tile_search(threshold: int):
 
 
 def tiles(nodes: DataFrame, threshold: int = LINK_AT) -> DataFrame:
-    """(tile, base, node, n, level) of the tiles with two nodes or more.
+    """(tile, key, base, node, n, level) of the tiles with two nodes or more.
 
     A node is in the tiles of its own band and, as the smaller partner, of the band above.
     """
@@ -253,7 +262,7 @@ def tiles(nodes: DataFrame, threshold: int = LINK_AT) -> DataFrame:
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     rows = common.stored(keyed.join(shared, "key"), "jaccard-keys")
     banded = rows.withColumn("base", F.explode(F.array(F.col("level"), F.col("level") + 1)))
-    return banded.select(F.xxhash64("key", "base").alias("tile"), "base", "node", "n", "level")
+    return banded.select(F.xxhash64("key", "base").alias("tile"), "key", "base", "node", "n", "level")
 
 
 def pivot_pairs(tiled: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int, threshold: int = LINK_AT) -> DataFrame:
@@ -283,7 +292,7 @@ def pivot_pairs(tiled: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int,
 def candidate_pairs(
     tiled: DataFrame, nodes: DataFrame, roots: DataFrame, cell: int = 1024, threshold: int = LINK_AT
 ) -> DataFrame:
-    """Pairs of one tile, in different components so far, that pass size and bitmaps."""
+    """Pairs of one tile, in different components so far, that pass size and bitmaps; each pair once."""
     rooted = tiled.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_tiles = (
         rooted.groupBy("tile")
@@ -298,14 +307,16 @@ def candidate_pairs(
         rooted.join(open_tiles, "tile")
         .withColumn("i", block)
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-        .select("tile", "base", "node", "n", "level", "root", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"))
+        .select(
+            "tile", "key", "base", "node", "n", "level", "root", F.col("i").alias("block"),
+            F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"),
+        )
     )
-    with_bits = spread.join(nodes.select("node", "bits"), "node")
+    with_bits = spread.join(nodes.select("node", "keys", "bits"), "node")
     return (
         with_bits.repartition("tile", "x", "y")
         .sortWithinPartitions("tile", "x", "y")
         .mapInPandas(_tile_search(threshold), "a binary, b binary")
-        .distinct()
     )
 
 
@@ -339,12 +350,12 @@ def join(
         close = pivot_pairs(tiled, nodes, roots, turn, threshold)
         links.append(common.stored(_check(close, nodes, sketched, documents, width, threshold), "jaccard-pivot-links"))
         # Between the turns roots only spare comparisons, so one round will do.
-        roots = components(reduce(DataFrame.union, links), None if turn == pivot_rounds - 1 else 1)
+        roots = components(functools.reduce(DataFrame.union, links), None if turn == pivot_rounds - 1 else 1)
     rest = candidate_pairs(tiled, nodes, roots, cell, threshold)
     links.append(common.stored(_check(rest, nodes, sketched, documents, width, threshold), "jaccard-links"))
     roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links[-1]))
 
-    checked = reduce(DataFrame.union, links).distinct()
+    checked = functools.reduce(DataFrame.union, links).distinct()
     ends = checked.select(F.col("a").alias("node")).union(checked.select(F.col("b").alias("node")))
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The smallest id, nulls last, and of equal ids the smallest node.
