@@ -247,6 +247,15 @@ def test_state_survives_storage(spark, sf):
     assert again.select(columns).exceptAll(encoded.select(columns)).isEmpty()
 
 
+def test_state_keeps_columns_of_one_level(spark):
+    train = spark.createDataFrame([(1, 5, 2.0), (1, 6, 4.0)], "payment_type int, zone long, trip_duration_min double")
+    means = encode.target_means(train, ["zone"])
+    fitted = encode.Encoders(encode.fit_levels(train, ["payment_type"]), {}, means, ["zone"])
+    stored = encode.Encoders.from_rows(fitted.as_rows())
+    assert stored.levels == {"payment_type": []} and stored.target_columns == ["zone"]
+    assert encode.apply_encoders(train, stored).columns == ["trip_duration_min", "zone_encoded"]
+
+
 # --- profile -------------------------------------------------------------------------------
 
 

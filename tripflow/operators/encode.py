@@ -148,8 +148,13 @@ class Encoders:
     target_columns: list[str] = field(default_factory=lambda: list(schema.TARGET_ENCODED_COLUMNS))
 
     def as_rows(self) -> DataFrame:
-        """State as rows (kind, column, key, value), to be stored with the splits."""
-        rows = [("level", c, str(v), float(v)) for c, values in self.levels.items() for v in values]
+        """State as rows (kind, column, key, value), to be stored with the splits.
+
+        A row names each one-hot column, also one without levels, and each target column with its place.
+        """
+        rows = [("onehot", c, None, None) for c in self.levels]
+        rows += [("target", c, str(i), None) for i, c in enumerate(self.target_columns)]
+        rows += [("level", c, str(v), float(v)) for c, values in self.levels.items() for v in values]
         rows += [("mean", c, None, m) for c, (m, _) in self.scaling.items()]
         rows += [("stddev", c, None, s) for c, (_, s) in self.scaling.items()]
         small = self.means.sparkSession.createDataFrame(rows, "kind string, column string, key string, value double")
@@ -165,10 +170,11 @@ class Encoders:
     @staticmethod
     def from_rows(rows: DataFrame) -> Encoders:
         small = rows.where("kind <> 'target_mean'").collect()
-        levels: dict[str, list[int]] = {}
+        levels: dict[str, list[int]] = {r["column"]: [] for r in small if r["kind"] == "onehot"}
         for r in small:
             if r["kind"] == "level":
-                levels.setdefault(r["column"], []).append(int(r["key"]))
+                levels[r["column"]].append(int(r["key"]))
+        targets = sorted((int(r["key"]), r["column"]) for r in small if r["kind"] == "target")
         means = {r["column"]: r["value"] for r in small if r["kind"] == "mean"}
         stddevs = {r["column"]: r["value"] for r in small if r["kind"] == "stddev"}
         return Encoders(
@@ -177,6 +183,7 @@ class Encoders:
             means=rows.where("kind = 'target_mean'").select(
                 "column", F.col("key").cast("bigint").alias("category"), F.col("value").alias("mean_target")
             ),
+            target_columns=[c for _, c in targets],
         )
 
 

@@ -43,16 +43,19 @@ def fare_features(df: DataFrame) -> DataFrame:
     )
 
 
-def pair_counts(silver: DataFrame) -> DataFrame:
-    """Trips per month and zone pair: the one aggregate that all three counts derive from."""
-    keyed = route_features(
+def _keyed(silver: DataFrame) -> DataFrame:
+    return route_features(
         silver.select(
             F.year(schema.PICKUP).alias("pickup_year"),
             F.month(schema.PICKUP).alias("pickup_month"),
             *ZONES,
         )
     )
-    return keyed.groupBy(*MONTH, *ZONES, "route_id").agg(F.count("*").alias("trips"))
+
+
+def pair_counts(silver: DataFrame) -> DataFrame:
+    """Trips per month and zone pair: the one aggregate that all three counts of the lookup derive from."""
+    return _keyed(silver).groupBy(*MONTH, *ZONES, "route_id").agg(F.count("*").alias("trips"))
 
 
 def _rolled_up(pairs: DataFrame, key: str, name: str) -> DataFrame:
@@ -60,11 +63,11 @@ def _rolled_up(pairs: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def zone_trip_counts(silver: DataFrame, zone: str, name: str) -> DataFrame:
-    return _rolled_up(pair_counts(silver), zone, name)
+    return _keyed(silver).groupBy(*MONTH, zone).agg(F.count("*").alias(name))
 
 
 def route_trip_counts(silver: DataFrame) -> DataFrame:
-    return _rolled_up(pair_counts(silver), "route_id", "route_trip_count")
+    return _keyed(silver).groupBy(*MONTH, "route_id").agg(F.count("*").alias("route_trip_count"))
 
 
 def count_lookup(silver: DataFrame) -> DataFrame:

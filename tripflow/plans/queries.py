@@ -283,8 +283,10 @@ def _split_gold(spark: SparkSession, sf: str) -> DataFrame:
     return storage.written(labelled.drop(*schema.LEAKAGE_COLUMNS), "gold")
 
 
-def _split_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return split.time_split(_silver_layer(spark, sf))
+def _split_silver(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Key, pickup time, the columns and the split. Nothing is written but the counts per pickup second."""
+    trips = silver.clean(_trips(spark, sf), keep=KEY)
+    return split.time_split(trips.select(*KEY, schema.PICKUP, *columns), thresholds=split.split_thresholds(trips))
 
 
 @query
@@ -294,7 +296,7 @@ def category_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def target_means(spark: SparkSession, sf: str) -> DataFrame:
-    train = _split_silver(spark, sf).where("split = 'train'")
+    train = _split_silver(spark, sf, *schema.TARGET_ENCODED_COLUMNS, schema.TARGET).where("split = 'train'")
     return rounded(encode.target_means(train, schema.TARGET_ENCODED_COLUMNS))
 
 
@@ -321,7 +323,7 @@ def random_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def union_splits(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _split_silver(spark, sf).select(*KEY, "trip_distance", schema.TARGET, "split")
+    rows = _split_silver(spark, sf, "trip_distance", schema.TARGET).drop(schema.PICKUP)
     return split.union_splits(rows.where("split = 'train'"), rows.where("split = 'val'"))
 
 
@@ -337,22 +339,23 @@ def encode_binary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def encode_onehot(spark: SparkSession, sf: str) -> DataFrame:
-    trips = _split_silver(spark, sf)
+    trips = _split_silver(spark, sf, *schema.ONEHOT_COLUMNS)
     levels = encode.fit_levels(trips.where("split = 'train'"))
     return encode.encode_onehot(trips.select(*KEY, *schema.ONEHOT_COLUMNS), levels)
 
 
 @query
 def encode_target(spark: SparkSession, sf: str) -> DataFrame:
-    trips = _split_silver(spark, sf)
     columns = schema.TARGET_ENCODED_COLUMNS
+    trips = _split_silver(spark, sf, *columns, schema.TARGET)
     means = storage.written(encode.target_means(trips.where("split = 'train'"), columns), "target-means")
     return rounded(encode.encode_target(trips.select(*KEY, *columns), means, columns))
 
 
 @query
 def scale_features(spark: SparkSession, sf: str) -> DataFrame:
-    trips = gold.distance_features(_split_silver(spark, sf))
+    wanted = [c for c in schema.SILVER_COLUMNS if c in schema.SCALED_COLUMNS or c == "trip_distance"]
+    trips = gold.distance_features(_split_silver(spark, sf, *wanted))
     stats = encode.fit_scaling(trips.where("split = 'train'"))
     return rounded(encode.scale_features(trips, stats).select(*KEY, *stats))
 
@@ -395,10 +398,8 @@ def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def profile_by_month(spark: SparkSession, sf: str) -> DataFrame:
-    months = storage.with_month(_silver(spark, sf)).select(
-        "year", "month", "trip_distance", "fare_amount", "tip_amount", schema.TARGET, "extra"
-    )
-    return rounded(profile.profile_columns(months, by=["year", "month"]), ["min", "max", "mean", "stddev"])
+    months = storage.with_month(_silver(spark, sf))
+    return rounded(profile.profile_columns(months, by=["year", "month"]), ["mean", "stddev"])
 
 
 @query
@@ -419,11 +420,11 @@ def run_rollup(spark: SparkSession, sf: str) -> DataFrame:
 # --- metrics, gates, comparison ------------------------------------------------------------
 
 
-def _predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows (model, actual, predicted) of three stand-in models, beside two segments."""
+def _predictions(spark: SparkSession, sf: str, *names: str) -> DataFrame:
+    """Rows (model, actual, predicted) of the named stand-in models, or all three, beside two segments."""
     pairs = [
-        F.struct(F.lit(name).alias("model"), F.expr(text).cast("double").alias("predicted"))
-        for name, text in fixtures.MODEL_COLUMNS.items()
+        F.struct(F.lit(name).alias("model"), F.expr(fixtures.MODEL_COLUMNS[name]).cast("double").alias("predicted"))
+        for name in names or fixtures.MODEL_COLUMNS
     ]
     return _silver(spark, sf).select(
         F.col(schema.TARGET).alias("actual"), "payment_type", F.col("PULocationID").alias("zone"), F.inline(F.array(*pairs))
@@ -442,7 +443,7 @@ def metrics_by_segment(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def evaluator_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    one = _predictions(spark, sf).where("model = 'by_distance'").select("actual", "predicted")
+    one = _predictions(spark, sf, "by_distance").select("actual", "predicted")
     with models.persisted(one):
         found = models.evaluator_metrics(one, "actual", "predicted")
     return rounded(spark.createDataFrame([found], "rmse double, mae double, r2 double"))
@@ -454,32 +455,32 @@ def leaderboard_topn(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics.leaderboard(by_segment, 2, ["payment_type"]))
 
 
-def _zone_metrics(spark: SparkSession, sf: str, model: str) -> DataFrame:
-    rows = _predictions(spark, sf).where(F.col("model") == model)
-    return metrics.regression_metrics(rows, "actual", "predicted", ["zone"])
+def _zone_metrics(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Metrics per zone of the new and the old model, from one aggregate over the trips."""
+    rows = _predictions(spark, sf, "by_distance", "by_fare")
+    both = storage.written(metrics.regression_metrics(rows, "actual", "predicted", ["model", "zone"]), "zone-metrics")
+    new, old = (both.where(F.col("model") == m).drop("model") for m in ("by_distance", "by_fare"))
+    return new, old
 
 
 @query
 def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
-    gate = metrics.quality_gate(_zone_metrics(spark, sf, "by_distance"), **GATE)
+    rows = _predictions(spark, sf, "by_distance")
+    gate = metrics.quality_gate(metrics.regression_metrics(rows, "actual", "predicted", ["zone"]), **GATE)
     return rounded(gate.withColumn("violations", F.array_join("violations", "; ")), ["rmse", "mae", "r2"])
 
 
-def _comparison(spark: SparkSession, sf: str) -> DataFrame:
-    """The distance model against the fare model; every tenth zone has no old model."""
-    old = _zone_metrics(spark, sf, "by_fare").where("zone % 10 <> 0")
-    return metrics.compare_models(_zone_metrics(spark, sf, "by_distance"), old, ["zone"])
-
-
 @query
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_comparison(spark, sf))
+    """The distance model against the fare model, zone by zone."""
+    return rounded(metrics.compare_models(*_zone_metrics(spark, sf), ["zone"]))
 
 
 @query
 def promotion_decision(spark: SparkSession, sf: str) -> DataFrame:
-    gate = metrics.quality_gate(_zone_metrics(spark, sf, "by_distance"), **GATE)
-    return metrics.promotion_decision(_comparison(spark, sf), gate, ["zone"]).drop("violations")
+    new, old = _zone_metrics(spark, sf)
+    gate = metrics.quality_gate(new, **GATE)
+    return metrics.promotion_decision(metrics.compare_models(new, old, ["zone"]), gate, ["zone"]).drop("violations")
 
 
 # --- models --------------------------------------------------------------------------------
@@ -487,8 +488,8 @@ def promotion_decision(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def feature_contract(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _split_silver(spark, sf)
     wanted = ["trip_distance", "passenger_count", "PULocationID"]
+    rows = _split_silver(spark, sf, *wanted, schema.TARGET)
     train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
     train, val = models.feature_contract(train, val, wanted, [schema.TARGET, "split"])
     return train.unionByName(val)
@@ -498,7 +499,8 @@ def _assembled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, enco
     """Assembled training and validation rows with their key, encoders, gold."""
     table = _split_gold(spark, sf)
     encoded, encoders = encode.model_table(table)
-    rows = models.assemble(encoded).select(*KEY, models.VECTOR, models.LABEL, "split")
+    # Written: fits and counts below would otherwise repeat the encoding joins.
+    rows = storage.written(models.assemble(encoded).select(*KEY, models.VECTOR, models.LABEL, "split"), "assembled")
     return rows.where("split = 'train'"), rows.where("split = 'val'"), encoders, table
 
 
