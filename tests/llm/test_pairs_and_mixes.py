@@ -201,3 +201,37 @@ def test_warc_damaged_segments_are_reported(spark, tmp_path):
     (tmp_path / "d" / "part-0.warc").write_bytes(text[:cut] + text[again:])
     row = warc.read(spark, f"{tmp_path}/d").first()
     assert row["problem"] == "segments missing or repeated" and row["payload"] is None
+
+
+@pytest.mark.parametrize("cell", [7, 1024])
+def test_jaccard_counts_all_links(spark, cell):
+    """Groups of near copies that one pivot joins: every link counts, copies too, whatever the component needs."""
+    texts = near_copies(6, 3, 30, 120, 3) + near_copies(7, 3, 5, 60, 9) + ["a b", "A b", "a\tb ", "", None, "a b c d e"] * 2
+    sets = [set(jaccard.shingle_set(t, 5, jaccard.WordHashes()).tolist()) for t in texts]
+    linked = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    counts = [sum(linked(s, t) for t in sets) - bool(s) for s in sets]
+    assert max(counts) > 20
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in jaccard.join(frame, cell=cell, count_links=True).collect()}
+    assert [found[i]["links"] for i in range(len(texts))] == counts
+    assert {i: r["component_id"] for i, r in found.items()} == brute_components(dict(enumerate(texts)))
+    components_only = jaccard.join(frame, cell=cell)
+    assert "links" not in components_only.columns
+    assert {tuple(r) for r in components_only.collect()} == {
+        tuple(r[c] for c in components_only.columns) for r in found.values()}
+
+
+def test_op7_returns_the_links_of_sql(spark, sf):
+    head = jaccard.SQL[: jaccard.SQL.index("), reach AS")]
+    sql = head + ") SELECT d.doc_id, count(l.b) AS links FROM documents d LEFT JOIN links l ON l.a = d.doc_id GROUP BY d.doc_id"
+    mine = jaccard.op7_jaccard_join(spark, sf).toPandas()
+    assert rows(mine, "doc_id", "links") == rows(oracle(sql, sf, "documents"), "doc_id", "links")
+
+
+def test_overlaps_both_ways():
+    draw = np.random.default_rng(5)
+    sets = [np.unique(draw.integers(0, 90, 60).astype(np.uint64)) for _ in range(40)]
+    i, j = np.triu_indices(40, 1)
+    expected = [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+    assert jaccard.overlaps(sets, i, j).tolist() == expected
+    assert [jaccard.overlaps(sets, i[k : k + 1], j[k : k + 1])[0] for k in range(9)] == expected[:9]

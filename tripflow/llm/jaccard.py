@@ -17,6 +17,10 @@ different components meet, in square cells of at most ``cell`` rows a side, so t
 small pieces of work; cells emit the pairs that pass the bitmaps, not all pairs, and a pair of several
 tiles in one of them only.
 
+Counting links. Components need few of a group's links, a count needs all. With ``count_links`` no pivots are drawn:
+cells compare all their nodes and emit those with a pair that passes the bitmaps; these come back to the cell with
+their texts, all their passing pairs are checked exactly, and the cell emits a count and a star per node, not pairs.
+
 Defined results: null or empty texts have the empty set and are linked with nothing. Rows with a
 null id take part; a component is named by its smallest non-null id, null if it has none. Repeated rows and
 equal ids with different texts each stay a row. An empty table gives an empty result. Other columns are ignored.
@@ -26,7 +30,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,6 +43,8 @@ from tripflow.llm.components import components
 
 LINK_AT = 75  # hundredths
 MEMO = 300_000
+#: What is kept of a node's row in a cell.
+MEMBER = ["tile", "key", "base", "node", "block", "x", "y"]
 
 
 class WordHashes(dict):
@@ -203,8 +209,31 @@ def cell_pairs(
     return np.concatenate(left), np.concatenate(right)
 
 
-def _tile_search(threshold: int):
-    """Over rows sorted by cell, the pairs (a, b) of nodes that pass size and bitmaps, each in the tile of their least common key."""
+def least_common(cells: np.ndarray, key: np.ndarray, keys: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows (i, j), each of one cell, share no key below that of their tile.
+
+    The lower keys that several rows of a cell hold are numbered, and each row's are the bits of its words.
+    """
+    lower = [k[k < own] for k, own in zip(keys, key, strict=True)]
+    row = np.repeat(np.arange(len(lower)), [len(k) for k in lower])
+    held = pd.DataFrame({"row": row, "cell": cells[row], "key": np.concatenate([np.empty(0, np.int64), *lower])})
+    held = held[held.duplicated(["cell", "key"], keep=False)].sort_values(["cell", "key"], kind="stable")
+    new = ~held.duplicated(["cell", "key"]).to_numpy()
+    number = np.cumsum(new)
+    number = number - held.assign(n=number).groupby("cell")["n"].transform("min").to_numpy()
+    words = np.zeros((int(number.max(initial=-1)) // 64 + 1, len(lower)), np.uint64)
+    np.bitwise_or.at(words, (number // 64, held["row"].to_numpy()), np.uint64(1) << (number % 64).astype(np.uint64))
+    found = np.ones(len(i), bool)
+    for word in words:
+        found &= (word[i] & word[j]) == 0
+    return found
+
+
+def _tile_search(threshold: int, members: bool = False):
+    """Over rows sorted by cell, the pairs (a, b) of nodes that pass size and bitmaps, each in the tile of their least common key.
+
+    With ``members``, the rows of the nodes that have such a pair in the cell.
+    """
 
     def pairs(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -213,7 +242,6 @@ def _tile_search(threshold: int):
         words = np.array([band_bits(int(v), threshold) // 64 for v in bases])
         diagonal = (frame["x"] == frame["y"]).to_numpy()
         nodes, key, keys = frame["node"].to_numpy(), frame["key"].to_numpy(), frame["keys"].to_numpy()
-        below = functools.cache(lambda row: frozenset(keys[row][keys[row] < key[row]].tolist()))
         for size in np.unique(words):
             rows = np.flatnonzero(words == size)
             bits = np.stack([folded(np.frombuffer(b, np.uint64), size) for b in frame["bits"].to_numpy()[rows]])
@@ -229,13 +257,22 @@ def _tile_search(threshold: int):
                 threshold,
             )
             i, j = rows[i], rows[j]
-            first = np.array([below(p).isdisjoint(below(q)) for p, q in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
-            out.append(pd.DataFrame({"a": nodes[i[first]], "b": nodes[j[first]]}))
+            first = least_common(cells, key, keys, i, j)
+            i, j = i[first], j[first]
+            out.append(np.union1d(i, j) if members else pd.DataFrame({"a": nodes[i], "b": nodes[j]}))
+        if members:
+            return frame.loc[np.concatenate(out), MEMBER]
         found = pd.concat(out)
         swap = found["a"].to_numpy() > found["b"].to_numpy()
         found.loc[swap, ["a", "b"]] = found.loc[swap, ["b", "a"]].to_numpy()
         return found
 
+    return _by_whole_cells(pairs)
+
+
+def _by_whole_cells(work: Callable[[pd.DataFrame], pd.DataFrame]):
+    """Over batches sorted by cell, ``work`` on frames that hold cells as a whole."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
@@ -246,9 +283,82 @@ def _tile_search(threshold: int):
             open_cell = ((batch["tile"] == last["tile"]) & (batch["x"] == last["x"]) & (batch["y"] == last["y"])).to_numpy()
             held = batch[open_cell]
             if not open_cell.all():
-                yield pairs(batch[~open_cell].reset_index(drop=True))
+                yield work(batch[~open_cell].reset_index(drop=True))
         if held is not None and len(held):
-            yield pairs(held.reset_index(drop=True))
+            yield work(held.reset_index(drop=True))
+
+    return run
+
+
+def overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (i, j) of ``sets``: pair by pair, or for many pairs as products of
+    the incidence matrix of the shingles that several sets hold."""
+    sizes = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    width = int((times > 1).sum())
+    # Rough seconds: a pair costs some 20 us and 20 ns a shingle, the product 2e10 operations a second.
+    if (2e-5 * len(i) + 2e-8 * int((sizes[i] + sizes[j]).sum())) < 1e-10 * width * len(sets) ** 2:
+        return np.array(
+            [len(np.intersect1d(sets[p], sets[q], assume_unique=True)) for p, q in zip(i.tolist(), j.tolist(), strict=True)], int
+        )
+    total = np.zeros((len(sets), len(sets)), np.float64)
+    step = max(64, (1 << 22) // len(sets))
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, width, step):
+        part = slice(*np.searchsorted(column, [low, low + step]))
+        held = np.zeros((len(sets), step), np.float32)
+        held[row[part], column[part] - low] = 1
+        total += held @ held.T
+    return total[i, j].astype(int)
+
+
+def _link_counts(width: int, keys: int | None, threshold: int):
+    """Over rows of ``MEMBER`` with text and copies, sorted by cell: (node, root, links) of the nodes with links.
+
+    ``links`` counts the documents of the nodes linked in this cell, ``root`` is a node reached by such links.
+    """
+
+    def of_cell(frame: pd.DataFrame, sets: list[np.ndarray]) -> pd.DataFrame:
+        n = np.array([len(s) for s in sets])
+        base = int(frame["base"].iloc[0])
+        level = np.array([band(v, threshold) for v in n])
+        same = np.zeros(len(frame), np.int64)
+        diagonal = (frame["x"] == frame["y"]).to_numpy()
+        bits = np.stack([parity_bitmap(s, band_bits(base, threshold)) for s in sets])
+        i, j = cell_pairs(
+            same, level, same + base, n, np.arange(len(frame)), frame["block"].to_numpy(), diagonal, bits, threshold
+        )
+        prefixes = [s[: prefix_length(len(s), keys, threshold)].view(np.int64) for s in sets]
+        first = least_common(same, frame["key"].to_numpy(), prefixes, i, j)
+        i, j = i[first], j[first]
+        both = overlaps(sets, i, j)
+        linked = 100 * both >= threshold * (n[i] + n[j] - both)
+        i, j = i[linked], j[linked]
+        copies = frame["copies"].to_numpy()
+        links = np.zeros(len(frame), np.int64)
+        np.add.at(links, i, copies[j])
+        np.add.at(links, j, copies[i])
+        root = np.arange(len(frame))
+        while (root[i] != root[j]).any():
+            low = np.minimum(root[i], root[j])
+            np.minimum.at(root, root[i], low)
+            np.minimum.at(root, root[j], low)
+            root = root[root]
+        nodes = frame["node"].to_numpy()
+        return pd.DataFrame({"node": nodes, "root": nodes[root], "links": links})[links > 0]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = WordHashes()
+
+        def work(frame: pd.DataFrame) -> pd.DataFrame:
+            cells = (cell.reset_index(drop=True) for _, cell in frame.groupby(["tile", "x", "y"], sort=False))
+            return pd.concat([of_cell(c, [shingle_set(t, width, memo) for t in c["text"]]) for c in cells])
+
+        yield from _by_whole_cells(work)(batches)
 
     return run
 
@@ -290,9 +400,12 @@ def pivot_pairs(tiled: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int,
 
 
 def candidate_pairs(
-    tiled: DataFrame, nodes: DataFrame, roots: DataFrame, cell: int = 1024, threshold: int = LINK_AT
+    tiled: DataFrame, nodes: DataFrame, roots: DataFrame, cell: int = 1024, threshold: int = LINK_AT, members: bool = False
 ) -> DataFrame:
-    """Pairs of one tile, in different components so far, that pass size and bitmaps; each pair once."""
+    """Pairs of one tile, in different components so far, that pass size and bitmaps; each pair once.
+
+    With ``members``, the cells' rows of the nodes of such pairs instead.
+    """
     rooted = tiled.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_tiles = (
         rooted.groupBy("tile")
@@ -316,18 +429,22 @@ def candidate_pairs(
     return (
         with_bits.repartition("tile", "x", "y")
         .sortWithinPartitions("tile", "x", "y")
-        .mapInPandas(_tile_search(threshold), "a binary, b binary")
+        .mapInPandas(
+            _tile_search(threshold, members),
+            "tile long, key long, base int, node binary, block int, x int, y int" if members else "a binary, b binary",
+        )
     )
 
 
 def join(
     documents: DataFrame, width: int = 5, keys: int | None = 20, threshold: int = LINK_AT, cell: int = 1024,
-    pivot_rounds: int = 2,
+    pivot_rounds: int = 2, count_links: bool = False,
 ) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``, ``links`` and ``stays`` of each row.
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``stays`` of each row, ``links`` if counted.
 
-    ``links`` counts the checked links of the row's set to other sets, and ``stays`` marks one text of each
-    component: that of its smallest id. Texts with the empty set all stay.
+    ``stays`` marks one text of each component: that of its smallest id. Texts with the empty set all stay.
+    ``links`` is the number of other rows, exact copies among them, whose set reaches the threshold with the row's;
+    all of them are counted, which takes no pivots.
     """
     spark = documents.sparkSession
     sketched = common.stored(sketches(documents, width, keys, threshold), "jaccard-sketches")
@@ -339,6 +456,7 @@ def join(
             F.first("keys").alias("keys"),
             F.first("bits").alias("bits"),
             F.min("doc_id").alias("doc_id"),
+            F.count("*").alias("copies"),
         ),
         "jaccard-nodes",
     )
@@ -346,29 +464,46 @@ def join(
 
     links = []
     roots = spark.createDataFrame([], "node binary, root binary")
+    if count_links:
+        members = common.stored(candidate_pairs(tiled, nodes, roots, cell, threshold, members=True), "jaccard-members")
+        texts = _texts(members.select("node").distinct(), nodes, documents, width)
+        counted = common.stored(
+            members.join(texts, "node")
+            .join(nodes.select("node", "copies"), "node")
+            .repartition("tile", "x", "y")
+            .sortWithinPartitions("tile", "x", "y")
+            .mapInPandas(_link_counts(width, keys, threshold), "node binary, root binary, links long"),
+            "jaccard-counts",
+        )
+        roots = components(counted.select(F.col("root").alias("a"), F.col("node").alias("b")))
+        return _named(sketched, nodes, roots, counted.groupBy("node").agg(F.sum("links").alias("links")))
+
     for turn in range(pivot_rounds):
         close = pivot_pairs(tiled, nodes, roots, turn, threshold)
-        links.append(common.stored(_check(close, nodes, sketched, documents, width, threshold), "jaccard-pivot-links"))
+        links.append(common.stored(_check(close, nodes, documents, width, threshold), "jaccard-pivot-links"))
         # Between the turns roots only spare comparisons, so one round will do.
         roots = components(functools.reduce(DataFrame.union, links), None if turn == pivot_rounds - 1 else 1)
     rest = candidate_pairs(tiled, nodes, roots, cell, threshold)
-    links.append(common.stored(_check(rest, nodes, sketched, documents, width, threshold), "jaccard-links"))
+    links.append(common.stored(_check(rest, nodes, documents, width, threshold), "jaccard-links"))
     roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links[-1]))
 
-    checked = functools.reduce(DataFrame.union, links).distinct()
-    ends = checked.select(F.col("a").alias("node")).union(checked.select(F.col("b").alias("node")))
-    named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return _named(sketched, nodes, roots, nodes.select("node", F.lit(0).alias("links")).limit(0)).drop("links")
+
+
+def _named(sketched: DataFrame, nodes: DataFrame, roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with their component and links; ``links`` has the linked documents of a node, without its own copies."""
+    named = nodes.select("node", "doc_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The smallest id, nulls last, and of equal ids the smallest node.
     first_node = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"), first_node["node"].alias("first_node"))
     by_node = (
         named.join(smallest, "root")
-        .join(ends.groupBy("node").agg(F.count("*").alias("links")), "node", "left")
+        .join(links, "node", "left")
         .select(
             "node",
             "component_id",
             F.when(F.col("node") == F.col("first_node"), F.struct("doc_id")).alias("stays"),
-            F.coalesce("links", F.lit(0)).alias("links"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
         )
     )
     return (
@@ -387,10 +522,15 @@ def join(
     )
 
 
-def _check(pairs: DataFrame, nodes: DataFrame, sketched: DataFrame, documents: DataFrame, width: int, threshold: int) -> DataFrame:
+def _check(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, width: int, threshold: int) -> DataFrame:
     """Fetch the texts of the pairs' nodes, one each, and compare their sets."""
     pairs = common.stored(pairs, "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    return verified(pairs, _texts(wanted, nodes, documents, width), width, threshold)
+
+
+def _texts(wanted: DataFrame, nodes: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """One (node, text) for each node of ``wanted``."""
     owners = wanted.join(nodes.select("node", "doc_id"), "node")
     # Equal ids may carry different texts, so the text is matched by its set as well.
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
@@ -403,11 +543,12 @@ def _check(pairs: DataFrame, nodes: DataFrame, sketched: DataFrame, documents: D
             yield batch[[xxhash.xxh3_128_digest(s.tobytes()) == k for s, k in zip(sets, batch["node"], strict=True)]]
 
     texts = texts.mapInPandas(same_set, "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
-    return verified(pairs, common.stored(texts, "jaccard-texts"), width, threshold)
+    return common.stored(texts, "jaccard-texts")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(common.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    found = join(common.table(spark, sf_dir, "documents"), count_links=True)
+    return found.select("doc_id", "n_shingles", "component_id", "links")
 
 
 SQL = """
