@@ -94,6 +94,24 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity.score(docs.limit(0), empty).count() == 0
 
 
+def test_toxicity_finds_a_passage_of_words_said_before():
+    model = toxicity.Model({w: 5.0 for w in ("va", "ve", "vi", "vo", "vu")}, 0.01, 1.0, 0.1, 0.1)
+    singly = ["a"] * 20_000
+    for k, w in enumerate(model.scores):
+        singly[100 + 3000 * k] = w
+    judge = lambda words: toxicity.judge(model, " ".join(words), toxicity.Lexicon(model.scores))
+    assert judge(singly)[0] < 0.2
+    score, n, passages = judge([*singly, *model.scores, *["a"] * 50])
+    assert score > 0.99 and (25.0, 20_000, 20_005) in passages
+    # Singly just before the passage: one gap is lost at most.
+    near = ["a"] * 20_000
+    for k, w in enumerate(model.scores):
+        near[19_600 + 90 * k] = w
+    assert max(s for s, _, _ in judge([*near, *model.scores])[2]) > 20
+    # One word again and again is one word's evidence.
+    assert judge((["va"] + ["a"] * 600) * 40)[0] == judge(["va"] + ["a"] * (601 * 40 - 1))[0]
+
+
 # --- quality -------------------------------------------------------------------------------
 
 

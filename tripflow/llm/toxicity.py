@@ -5,7 +5,8 @@ it. A Dirichlet prior gives the log-odds of each; a word not seen often enough t
 longest beginning that was, so that inflected forms are known by their stem. Entries whose
 log-odds are surely positive form the lexicon; any other token costs a constant.
 
-Scoring scans a text once. All maximal segments come from one left-to-right pass; each segment
+Scoring scans a text once. A word said again counts where the gap to its last counted place costs as much as the
+word scores; nearer, the two are one passage's evidence, so a passage loses the cost of one such gap at most. All maximal segments come from one left-to-right pass; each segment
 of score S in a text of n tokens is expected K n exp(-lambda S) times by chance, lambda being the
 positive root of E[exp(lambda s)] = 1 over the tokens of clean texts. Sums over the best r segments
 give the chance P that a clean text looks as bad, and the score is pi / (pi + (1 - pi) P),
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -214,16 +216,29 @@ def chance(scores: list[float], n: int, decay: float, factor: float) -> float:
     return best
 
 
+def evidence(found: list[tuple[float, int, int]], hits: list[tuple[int, float]], words: list[str]) -> list[float]:
+    """Scores of the segments, best first, each word only in the best it occurs in: said again it is no new evidence."""
+    places, seen, out = [i for i, _ in hits], set(), []
+    for score, first, end in sorted(found, key=lambda s: (-s[0], s[1])):
+        for i, s in hits[bisect_left(places, first) : bisect_left(places, end)]:
+            if words[i] in seen:
+                score -= s
+            seen.add(words[i])
+        if score > 0:
+            out.append(score)
+    return out
+
+
 def judge(model: Model, text: str | None, lexicon: Lexicon) -> tuple[float, int, list[tuple[float, int, int]]]:
     """Score, token count and segments of one text."""
     words = tokens(text or "")
-    hits, seen = [], set()
+    hits, last = [], {}
     for i, s in enumerate(map(lexicon.__getitem__, words)):
-        if s and words[i] not in seen:  # a word said again is no new evidence
-            seen.add(words[i])
+        if s and (words[i] not in last or model.cost * (i - last[words[i]]) >= s):
+            last[words[i]] = i
             hits.append((i, s))
     found = segments(hits, model.cost)
-    p = chance([s for s, _, _ in found], len(words), model.decay, model.factor)
+    p = chance(evidence(found, hits, words), len(words), model.decay, model.factor)
     score = model.prior / (model.prior + (1 - model.prior) * p) if model.prior else 0.0
     return score, len(words), found
 
