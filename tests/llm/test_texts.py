@@ -112,6 +112,23 @@ def test_toxicity_finds_a_passage_of_words_said_before():
     assert judge((["va"] + ["a"] * 600) * 40)[0] == judge(["va"] + ["a"] * (601 * 40 - 1))[0]
 
 
+def test_toxicity_learns_where_most_labels_are_toxic(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("bcdfg") + draw.choice("aeiou") for _ in range(3))
+    bad = lambda: "vexu" + draw.choice(["lon", "tar", "mi", "da", "pel"]) + draw.choice("aeiou")
+    data = [(i, " ".join([word() for _ in range(50)] + [bad() for _ in range(4 * (i % 5 < 3))])) for i in range(900)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 < 3)) for i in range(900) if i % 3], "doc_id long, toxic int")
+    found = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    held = [r for r in found if not r["doc_id"] % 3]
+    assert sum((r["score"] >= 0.7) == (r["doc_id"] % 5 < 3) for r in held) / len(held) > 0.97
+
+
+def test_chance_counts_all_segments():
+    assert toxicity.chance([6.0] * 60, 500, 1.0, 0.1) < toxicity.chance([6.0] * 20, 500, 1.0, 0.1)
+    assert toxicity.chance([6.0] * 5000, 500, 1.0, 0.1) == pytest.approx(0.0, abs=1e-300)
+
+
 # --- quality -------------------------------------------------------------------------------
 
 

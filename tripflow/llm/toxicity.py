@@ -35,6 +35,8 @@ from tripflow.llm import common
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
 FLUSH = 300_000
+#: Part of the highest log-odds of a rare word that entries need, where ``least_log_odds`` is more than that.
+LEAST_OF_HIGHEST = 0.65
 
 
 def tokens(text: str) -> list[str]:
@@ -93,7 +95,7 @@ def fit(
     """Learn from labelled documents outside the held-out fold, about ``max_labels`` at most, equal texts counted once.
 
     The Dirichlet prior weighs as much as ``prior_share`` of the texts. An entry is kept if its
-    log-odds are at least ``least_log_odds`` and the root of its likelihood ratio against no link
+    log-odds are at least ``least_log_odds``, or ``LEAST_OF_HIGHEST`` of what the class shares allow, and the root of its likelihood ratio against no link
     with the label is at least ``least_root``; the model keeps the ``max_entries`` surest, which
     bounds what is sent to the executors.
     """
@@ -116,6 +118,9 @@ def fit(
     )
     prior_documents = prior_share * (toxic + clean)
     share = toxic / (toxic + clean)
+    # The most that a rare word can have: it falls as the share of toxic texts rises.
+    highest = math.log((1 + prior_share) / prior_share) + math.log((1 - share + prior_share) / (share + prior_share))
+    least_log_odds = min(least_log_odds, LEAST_OF_HIGHEST * highest)
     held = F.col("toxic") + F.col("clean")
     ratio = F.col("toxic") * F.log(F.col("toxic") / (held * share)) + F.when(F.col("clean") > 0, F.col("clean")).otherwise(
         F.lit(0)
@@ -207,12 +212,12 @@ def chance(scores: list[float], n: int, decay: float, factor: float) -> float:
         return 1.0
     best, total = 1.0, 0.0
     offset = math.log(max(factor * n, 1.0))
-    for r, score in enumerate(sorted(scores, reverse=True)[:20], 1):
+    for r, score in enumerate(sorted(scores, reverse=True), 1):
         total += decay * score - offset
         if total <= r:  # the sum's density only falls beyond
             break
         tail = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
-        best = min(best, math.exp(min(0.0, tail)) * 2**r)
+        best = min(best, math.exp(min(0.0, min(0.0, tail) + r * math.log(2))))
     return best
 
 
