@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tripflow import fixtures, schema
 from tripflow.operators import drift, gold, ordered, silver, split
+from tripflow.plans import oracles
 from tripflow.plans.oracles import ORACLES
 from tripflow.plans.queries import QUERIES
 from tripflow.sources import storage
@@ -139,5 +140,20 @@ def test_query_matches_sql(spark, sf, name):
     assert check.differences(df, rows, check.connect(sf), ORACLES[name]) == []
 
 
+def test_all_scaled_columns_match_sql(spark, sf):
+    scaled = ", ".join(f"{oracles.r(f'({c} - {c}_mean) / {c}_std')} AS {c}" for c in schema.SCALED_COLUMNS)
+    stats = oracles._scaling("gold", "TRUE", schema.SCALED_COLUMNS)
+    expected = {
+        "scaling_stats": oracles.over(
+            "gold", f'SELECT "column", {oracles.r("mean")} AS mean, {oracles.r("stddev")} AS stddev FROM ({stats})'),
+        "scale_features": oracles.over(
+            "gold_split", f"SELECT {oracles.KEY}, {scaled} FROM gold_split CROSS JOIN stats",
+            stats=oracles._stats(schema.SCALED_COLUMNS, "gold_split")),
+    }
+    for name, sql in expected.items():
+        df = QUERIES[name](spark, sf)
+        assert check.differences(df, [tuple(r) for r in df.collect()], check.connect(sf), sql) == []
+
+
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)

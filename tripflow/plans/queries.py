@@ -300,10 +300,20 @@ def target_means(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(encode.target_means(train, schema.TARGET_ENCODED_COLUMNS))
 
 
+_SCALED_FROM = [c for c in schema.SILVER_COLUMNS if c in schema.SCALED_COLUMNS or c == "trip_distance"]
+
+
+def _with_scaled(trips: DataFrame) -> DataFrame:
+    """Trips with all columns that are scaled: distance features, and zone and route counts of the whole month."""
+    counts = storage.written(gold.count_lookup(trips), "trip-counts")
+    months = dict(zip(gold.MONTH, (F.year(schema.PICKUP), F.month(schema.PICKUP))))
+    return gold.with_counts(gold.distance_features(trips.withColumns(months)), counts)
+
+
 @query
 def scaling_stats(spark: SparkSession, sf: str) -> DataFrame:
-    trips = gold.distance_features(_silver(spark, sf))
-    return rounded(encode.scaling_stats(trips))
+    trips = _silver(spark, sf).select(schema.PICKUP, *gold.ZONES, *_SCALED_FROM)
+    return rounded(encode.scaling_stats(_with_scaled(trips)))
 
 
 @query
@@ -354,8 +364,7 @@ def encode_target(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scale_features(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = [c for c in schema.SILVER_COLUMNS if c in schema.SCALED_COLUMNS or c == "trip_distance"]
-    trips = gold.distance_features(_split_silver(spark, sf, *wanted))
+    trips = _with_scaled(_split_silver(spark, sf, *gold.ZONES, *_SCALED_FROM))
     stats = encode.fit_scaling(trips.where("split = 'train'"))
     return rounded(encode.scale_features(trips, stats).select(*KEY, *stats))
 
