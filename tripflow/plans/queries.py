@@ -534,14 +534,14 @@ def fit_family(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def train_and_score(spark: SparkSession, sf: str) -> DataFrame:
     train, val, _, _ = _assembled(spark, sf)
-    params = {"n_estimators": 20, "max_depth": 6, "max_features": 0.3, "random_state": 42}
+    params = {**models.SCREENING_PARAMS["random_forest"], "random_state": 42}
     return models.score_metrics(models.fit("random_forest", params, train), val)
 
 
 @query
 def early_stopping(spark: SparkSession, sf: str) -> DataFrame:
     train, val, _, _ = _assembled(spark, sf)
-    model = models.fit("lightgbm", {"n_estimators": 20, "learning_rate": 0.3, "num_leaves": 15}, train, val)
+    model = models.fit("lightgbm", models.SCREENING_PARAMS["lightgbm"], train, val)
     return models.score_metrics(model, val).withColumn("trees", F.lit(model.getNumTrees))
 
 
@@ -554,28 +554,13 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def screen_families(spark: SparkSession, sf: str) -> DataFrame:
     train, val, _, _ = _assembled(spark, sf)
-    small = {
-        "ridge": {},
-        "lasso": {},
-        "elasticnet": {},
-        "decision_tree": {"max_depth": 6},
-        "random_forest": {"n_estimators": 10, "max_depth": 6},
-        "gradient_boosting": {"n_estimators": 5, "max_depth": 4},
-        "hist_gradient_boosting": {"max_iter": 5, "max_depth": 4},
-        "lightgbm": {"n_estimators": 5, "num_leaves": 15},
-    }
-    return models.screen_families(train, val, small)
+    return models.screen_families(train, val)
 
 
 @query
 def tune_family(spark: SparkSession, sf: str) -> DataFrame:
     train, val, _, _ = _assembled(spark, sf)
-    space = {
-        "n_estimators": {"type": "int", "low": 4, "high": 10},
-        "max_depth": {"type": "int", "low": 3, "high": 6},
-        "max_features": {"type": "float", "low": 0.3, "high": 1.0},
-    }
-    tuned = models.tune_family("random_forest", train, val, KEY, trials=3, folds=3, space=space)
+    tuned = models.tune_family("random_forest", train, val, KEY)
     return tuned.trials.drop("params").withColumn("best_val_rmse", F.lit(tuned.val_metrics["rmse"]))
 
 
