@@ -1,0 +1,338 @@
+from __future__ import annotations
+
+import itertools
+import random
+import re
+import sys
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tripflow.llm import common, filter_audit, language, spelling
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
+import check  # noqa: E402
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LARGE = 2**53
+
+
+# --- language ------------------------------------------------------------------------------
+
+SYLLABLES = {
+    "aa": ["tor", "mek", "lin", "os", "va"],
+    "bb": ["schu", "ung", "weh", "ker", "va"],
+    "cc": ["çao", "nho", "ões", "mek", "ria"],
+    "dd": ["日本", "語", "の", "テキ", "スト"],
+    "ee": ["вет", "ого", "ска", "при", "ность"],
+}
+
+
+def spoken(lang: str, words: int, seed: int) -> str:
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choices(SYLLABLES[lang], k=draw.randrange(1, 4))) for _ in range(words))
+
+
+def brute_grams(text: str) -> int:
+    """How many n-grams of one to three letters, runs of other characters read as one blank."""
+    plain = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    return 0 if not plain.strip() else sum(max(0, len(plain) - n + 1) for n in (1, 2, 3))
+
+
+@pytest.mark.parametrize("text", ["", "1 2 .", "a", "It's A test!!  x", "ÉÈ 12é", "日本語 のテキ", "x\U0001f642y ퟿z", "..a"])
+def test_grams_cover_the_whole_text(text):
+    assert language.gram_counts(language.letters(text)).sum() == brute_grams(text)
+
+
+def test_grams_do_not_depend_on_stretches(monkeypatch):
+    codes = language.letters(spoken("aa", 300, 1))
+    whole = language.gram_counts(codes)
+    for stretch in (1, 2, 7, 100, len(codes) - 1, len(codes)):
+        monkeypatch.setattr(language, "STRETCH", stretch)
+        assert (language.gram_counts(codes) == whole).all()
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 6, 7, 30])
+def test_codewords_are_far_apart(n):
+    code = language.codewords(n)
+    assert set(np.unique(code)) == {-1, 1} and (np.abs(code.sum(axis=0)) < n).all()
+    columns = {tuple(c) for c in code.T} | {tuple(-c) for c in code.T}
+    assert len(columns) == 2 * code.shape[1]
+    apart = min((a != b).sum() for a, b in itertools.combinations(code, 2))
+    assert apart >= (1 << n - 2 if n <= 6 else code.shape[1] // 4)
+
+
+def speech(n=600):
+    rows = []
+    for i in range(n):
+        lang = sorted(SYLLABLES)[i % 5]
+        rows.append((i, spoken(lang, 5 + i % 40, i), lang if i % 11 else None, "s", 0))
+    return rows
+
+
+def test_language_of_unseen_texts(spark):
+    rows = speech()
+    extra = [
+        (None, spoken("aa", 20, 9001), "aa", "s", 0), (9000, None, "aa", "s", 0), (9001, "", "aa", "s", 0),
+        (9002, "12 !? 34", "bb", "s", 0), (LARGE + 1, spoken("dd", 9, 5), None, "s", 0), rows[3], rows[3],
+        (9003, spoken("ee", 60_000, 7), "ee", "s", 0),
+        (9004, spoken("aa", 40, 1) + " " + spoken("bb", 40, 2), None, "s", 0),
+    ]
+    docs = spark.createDataFrame(rows + extra, DOCS).selectExpr("*", "'mine' AS score", "7 AS margins").repartition(5)
+    model = language.fit(docs)
+    found = language.predict(docs, model).collect()
+    assert len(found) == len(rows) + len(extra)
+    by_id = {r["doc_id"]: r for r in found}
+    truth = {i: sorted(SYLLABLES)[i % 5] for i in range(600)}
+    unseen = [i for i in truth if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum(by_id[i]["lang_pred"] == truth[i] for i in unseen) / len(unseen) > 0.97
+    assert all(by_id[i]["lang_pred"] == "und" and by_id[i]["score"] == 0 for i in (9000, 9001, 9002))
+    assert by_id[None]["lang_pred"] == "aa" and by_id[LARGE + 1]["lang_pred"] == "dd" and by_id[9003]["lang_pred"] == "ee"
+    assert all(0 <= r["score"] <= 1 for r in found) and by_id[3]["margins"] == 7
+    assert by_id[9004]["gap"] < by_id[9003]["gap"] and {by_id[9004]["lang_pred"], by_id[9004]["runner_up"]} == {"aa", "bb"}
+
+
+def test_decoding_is_the_least_weighted_loss(spark):
+    docs = spark.createDataFrame(speech(200), DOCS)
+    model = language.fit(docs)
+    for seed in range(20):
+        text = spoken(sorted(SYLLABLES)[seed % 5], 3, 500 + seed)
+        margins = model.margins(language.letters(text))
+        losses = [
+            sum(
+                trust * np.exp(-bit * np.tanh(a * (m - t)))
+                for trust, bit, m, t, a in zip(model.trust[i], model.code[i], margins, model.threshold, model.steepness)
+            )
+            for i in range(5)
+        ]
+        assert model.judge(text)[0] == model.languages[int(np.argmin(losses))]
+
+
+def test_language_counts_are_those_of_plain_python(spark):
+    """Votes cover all texts outside the held-out fold; the sample only sets thresholds."""
+    rows = speech(120)
+    docs = spark.createDataFrame(rows, DOCS).repartition(7)
+    model = language.fit(docs, max_sample=30)
+    votes = {lang: np.zeros(language.BUCKETS) for lang in SYLLABLES}
+    for i, text, lang, _, _ in rows:
+        if lang and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts = language.gram_counts(language.letters(text))
+            votes[lang] += np.floor(counts * (language.VOTE / counts.sum()))
+    expected = language._bit_weights(np.array([votes[x] for x in sorted(votes)]), model.code)
+    assert model.weights == pytest.approx(expected)
+
+
+def test_language_with_little_to_learn_from(spark):
+    docs = spark.createDataFrame([(0, "abc", "aa", "s", 0), (3, "xyz", None, "s", 0), (4, "1", "bb", "s", 0)], DOCS)
+    assert {r["lang_pred"] for r in language.predict(docs, language.fit(docs)).collect()} == {"aa", "und"}
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in language.predict(none, language.fit(none)).collect()} == {"und"}
+    empty = docs.limit(0)
+    assert language.predict(empty, language.fit(empty)).count() == 0
+    with pytest.raises(ValueError, match="max_languages"):
+        language.fit(spark.createDataFrame(speech(60), DOCS), max_languages=4)
+
+
+def test_language_query_on_held_out_documents(spark, sf):
+    found = language.op11_language(spark, sf).join(common.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    held = found.where("held_out").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in held) / len(held) > 0.97
+    assert found.count() == common.table(spark, sf, "documents").count()
+
+
+# --- filters -------------------------------------------------------------------------------
+
+
+def brute_audit(documents, labels):
+    """Apply the filters one after the other, order by order."""
+    good = {i for i, q, _ in labels if i is not None and q == 1}
+    toxic = {i for i, _, t in labels if i is not None and t == 1}
+    rows = []
+    for i, text, source in documents:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+            "D": bool(re.search("[#$%&*|]", text)),
+            "E": i is not None and any(j is not None and j < i and (t or "") == text for j, t, _ in documents),
+        }
+        rows.append((source or "", fails, i in good and i is not None, i in toxic and i is not None))
+    found = {}
+    for part in {r[0] for r in rows}:
+        shapley = Counter()
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left, gone = [r for r in rows if r[0] == part], []
+            for step, f in enumerate(order, 1):
+                out = [r for r in left if r[1][f]]
+                left = [r for r in left if not r[1][f]]
+                shapley[f] += len(out)
+                found[part, order, step] = [
+                    f, len(left), len(out), sum(r[1][f] for r in gone),
+                    sum(r[0] == part and [g for g in "ABCDE" if r[1][g]] == [f] for r in rows),
+                    sum(r[2] for r in out), sum(r[3] for r in out),
+                ]
+                gone += out
+        for key in found:
+            if key[0] == part:
+                found[key].append(shapley[found[key][0]])
+    return {k: tuple(v) for k, v in found.items()}
+
+
+def filter_rows():
+    draw = random.Random(4)
+    texts = [None, "", " \x0b\x0c ", "a#b", "UP DOWN", "x\x85y z\xa0w", "ÀÉ Ω x", "\x1c", "|" * 30]
+    texts += [" ".join(draw.choices(["ab", "cd", "Ef", "gh$", *(f"w{k}" for k in range(draw.choice([3, 400])))], k=draw.choice([5, 199, 200, 260])))
+              for _ in range(40)]
+    rows = [(i, draw.choice(texts), draw.choice([None, "", "s1", "s1", "s2"])) for i in range(90)]
+    rows += [(LARGE + 1, "copy", "s2"), (LARGE, "copy", "s2"), (LARGE + 2, "copy", None), (None, "copy", "s2"), (None, None, "s1"), rows[5], rows[5]]
+    labels = [(i, i % 2, int(i % 3 == 0)) for i in range(0, 90, 2)] + [(4, 1, None), (None, 1, 1), (LARGE + 1, 1, 1), (5, None, 0)]
+    return rows, labels
+
+
+def audit_frames(spark):
+    rows, labels = filter_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return docs.selectExpr("*", "1 AS part", "2 AS cell", "3 AS n").repartition(4), spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int"
+    )
+
+
+def test_filter_audit_equals_filtering_in_turn(spark):
+    found = filter_audit.audit(*audit_frames(spark))
+    mine = {tuple(r[:3]): tuple(r[3:]) for r in found.collect()}
+    assert mine == brute_audit(*filter_rows()) and found.count() == 600 * 3
+
+
+def test_filter_audit_equals_its_sql(spark, tmp_path):
+    docs, labels = audit_frames(spark)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    found = filter_audit.op12_filter_audit(spark, str(tmp_path))
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert check.differences(found, found.collect(), con, filter_audit.SQL) == []
+
+
+def test_filter_audit_query_equals_its_sql(spark, sf):
+    found = filter_audit.op12_filter_audit(spark, sf)
+    assert check.differences(found, found.collect(), check.connect(sf), filter_audit.SQL) == []
+
+
+def test_filter_audit_of_nothing(spark):
+    docs, labels = audit_frames(spark)
+    assert filter_audit.audit(docs.limit(0), labels).count() == 0
+    found = filter_audit.audit(docs, labels.limit(0)).agg(F.sum("good_lost"), F.sum("toxic_lost"), F.count("*")).first()
+    assert tuple(found) == (0, 0, 1800)
+
+
+# --- spelling ------------------------------------------------------------------------------
+
+
+def brute_words(documents):
+    n = Counter()
+    for i, text in documents:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    return {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(n):
+    found = {}
+    for w in n:
+        others = [x for x in n if abs(len(x) - len(w)) <= 1 and near(w, x)]
+        best = min(others, key=lambda x: (-n[x], x), default=None)
+        form = best if best is not None and n[best] >= 10 * n[w] else None
+        found[w] = (form, n[w], len(others), n[form] if form else None)
+    rows = {}
+    for w, (form, *rest) in found.items():
+        root = w
+        while found[root][0]:
+            root = found[root][0]
+        rows[w] = (form, root, *rest)
+    return rows
+
+
+def spelled(seed=3):
+    draw = random.Random(seed)
+    rows = []
+    for i in range(60):
+        words = [
+            "".join(draw.choices(["an", "ti", "on", "é", "Or"], k=draw.randrange(3, 6))) for _ in range(draw.randrange(0, 60))
+        ]
+        rows.append((i, draw.choice([" ", ", ", "1", "\n×", "日"]).join(words)))
+    chain = [("abcdefgh", 2), ("abcdefgx", 25), ("abcdefyx", 300), ("abcdeefyx", 4000)]
+    rows += [(100 + i, " ".join([w] * k)) for i, (w, k) in enumerate(chain)]
+    rows += [(None, "nullword nullword Ýnullword"), (7, None), (8, ""), (9, "x" * 5000 + " " + "x" * 5000), (LARGE + 1, "largeid largeids largeids largeid"), rows[3], rows[3]]
+    return rows
+
+
+def test_spelling_equals_brute_force(spark):
+    rows = spelled()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS word", "2 AS n", "3 AS root").repartition(6)
+    found = spelling.variants(docs)
+    mine = {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in found.collect()}
+    assert mine == brute_variants(brute_words(rows))
+    assert mine["abcdefgh"][1] == "abcdeefyx" and len(mine) == found.count() and "x" * 5000 in mine
+
+
+def test_signatures_of_near_words_meet(spark):
+    draw = random.Random(1)
+    pairs = []
+    for _ in range(300):
+        a = "".join(draw.choices("aabcé", k=draw.randrange(7, 13)))
+        at, kind = draw.randrange(len(a)), draw.randrange(3)
+        b = a[:at] + draw.choice("abcdé") + a[at + (kind == 0) :] if kind < 2 else a[:at] + a[at + 1 :]
+        if near(a, b):
+            pairs.append((a, b))
+    words = spark.createDataFrame([(w, 2) for w in {w for p in pairs for w in p}], "word string, n long")
+    keys: dict[str, set] = {}
+    for r in spelling.signatures(words).collect():
+        keys.setdefault(r["word"], set()).add(r["key"])
+    assert len(pairs) > 200 and all(keys[a] & keys[b] for a, b in pairs)
+
+
+def test_spelling_of_a_table_equals_brute_force(spark, sf):
+    found = {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in spelling.op13_spelling(spark, sf).collect()}
+    n = brute_words(common.table(spark, sf, "documents").select("doc_id", "text").collect())
+    # Near words through deletions, as comparing all words takes too long here.
+    by_deletion: dict[str, set] = {}
+    for w in n:
+        for i in range(len(w)):
+            by_deletion.setdefault(w[:i] + w[i + 1 :], set()).add(w)
+    linked = {w: set() for w in n}
+    for shorter, group in by_deletion.items():
+        for a, b in itertools.combinations(group | ({shorter} & n.keys()), 2):
+            if near(a, b):
+                linked[a].add(b)
+                linked[b].add(a)
+    assert {w: (r[2], r[3]) for w, r in found.items()} == {w: (n[w], len(linked[w])) for w in n}
+    for w, (form, _, _, _, form_n) in found.items():
+        best = min(linked[w], key=lambda x: (-n[x], x), default=None)
+        assert form == (best if best and n[best] >= 10 * n[w] else None) and form_n == (n[form] if form else None)
+
+
+def test_spelling_of_nothing(spark):
+    docs = spark.createDataFrame([(1, "short words only"), (2, None)], "doc_id long, text string")
+    assert spelling.variants(docs).count() == 0
+    assert spelling.variants(docs.limit(0)).count() == 0

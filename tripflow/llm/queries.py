@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tripflow.llm import (
-    fingerprint, html_text, jaccard, mixing, packing, quality, token_counts, topk, toxicity, warc,
+    filter_audit, fingerprint, html_text, jaccard, language, mixing, packing, quality, spelling, token_counts, topk,
+    toxicity, warc,
 )
 
 QUERIES = {
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality": quality.op10_quality,
+    "op11_language": language.op11_language,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 ORACLES = {
@@ -24,4 +28,5 @@ ORACLES = {
     "op3_topk": topk.SQL,
     "op4_mixing": mixing.SQL,
     "op7_jaccard_join": jaccard.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
