@@ -129,6 +129,8 @@ CHECKED = [
     "profile_columns", "validate_columns", "pending_partitions", "refresh_layer", "sample_rows", "target_means", "ml_table",
     "regression_metrics", "compare_models", "quality_gate", "drift_columns", "drift_chi2", "validate_requests",
     "request_features", "request_rate_5m", "latency_quantiles", "prediction_shift_1h", "monitor_stream",
+    "refresh_replaced", "stage_records", "land_months", "scaling_stats", "scale_features", "validate_counts", "drift_summary",
+    "profile_table",
 ]
 
 

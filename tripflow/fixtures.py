@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.sources.storage import spread
 
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+]
+
 _OFFSET = "(l_orderkey * 7919 + l_linenumber * 3571) % 86400"
 _FARE = "l_extendedprice / 200e0 - 10e0"
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tripflow import schema
 from tripflow.functions import trip
 from tripflow.operators.silver import with_duration
-from tripflow.sources.storage import file_columns
+from tripflow.sources import records
+from tripflow.sources.storage import file_columns, written
 
 
 def validate_columns(files: DataFrame, required: list[str] = schema.REQUIRED_COLUMNS) -> DataFrame:
@@ -29,6 +30,16 @@ def require_columns(report: DataFrame) -> None:
         raise ValueError("Missing required columns: " + "; ".join(f"{r['path']}: {list(r['missing'])}" for r in failed))
 
 
+def validation_stage(files: DataFrame, required: list[str], run: records.Run | None = None) -> DataFrame:
+    """The report on ``files``; fails if there are none or any lacks a column. Recorded either way."""
+    with records.recorded(run, "validation") as stage:
+        report = written(validate_columns(files, required), "validation")
+        stage.data_rows["files"] = report.count()
+        stage.metrics["failed_files"] = report.where("status = 'failed'").count()
+        require_columns(report)
+    return report
+
+
 def validate_counts(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Rows of every file behind a scan, by path: files of one name in different folders stay apart.
 

@@ -185,6 +185,27 @@ ORACLES["refresh_layer"] = over(
     f"SELECT {MONTH}, COUNT(*) AS bronze_rows, 'committed' AS status,"
     f" COUNT(*) FILTER (WHERE {VALID}) AS silver_rows FROM durated GROUP BY 1, 2",
 )
+# What three refreshes leave: halved distances, a year gone, and another emptied and back.
+_changed = (
+    f"SELECT * REPLACE (CASE WHEN year({P}) = {q.REPLACED_YEAR} THEN trip_distance / 2e0 ELSE trip_distance END AS trip_distance)"
+    f" FROM trips WHERE year({P}) <> {q.GONE_YEAR}"
+)
+ORACLES["refresh_replaced"] = over(
+    "trips",
+    f"SELECT {', '.join(schema.SILVER_COLUMNS)}, {KEY}, {MONTH}, CASE year({P}) WHEN {q.REPLACED_YEAR} THEN 2"
+    f" WHEN {q.EMPTIED_YEAR} THEN 3 ELSE 1 END AS version FROM silver",
+    changed=_changed,
+    durated=DURATED.replace("FROM trips", "FROM changed"),
+    silver=SILVER,
+)
+_months = f"COUNT(DISTINCT year({P}) * 100 + month({P}))"
+ORACLES["stage_records"] = over(
+    "silver",
+    f"SELECT 'land_months' AS stage, 'success' AS status, COUNT(*) AS rows_read, COUNT(*) AS rows_written, {_months} AS parts,"
+    " CAST(NULL AS VARCHAR) AS error FROM trips"
+    f" UNION ALL SELECT 'refresh_layer', 'success', (SELECT COUNT(*) FROM trips), COUNT(*), (SELECT {_months} FROM trips), NULL"
+    " FROM silver UNION ALL SELECT 'validation', 'failed', 14, NULL, 14, 'ValueError'",
+)
 ORACLES["write_layer"] = over(
     "silver",
     f"SELECT {MONTH}, COUNT(*) AS rows, {r('SUM(fare_amount)')} AS fares, {r('MAX(tip_amount)')} AS highest_tip"
@@ -219,7 +240,7 @@ ORACLES["validate_columns"] = (
 )
 ORACLES["validate_counts"] = " UNION ALL ".join(
     f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS rows, COUNT(*) <= 2000000 AS within_budget FROM {t}"
-    for t in ("lineitem", "orders")
+    for t in fixtures.TABLES
 )
 BROKEN = {
     "duration": "NOT COALESCE(trip_duration_min > 0 AND trip_duration_min < 180, FALSE)",
@@ -308,12 +329,9 @@ def _scaling(source: str, where: str, columns: list[str]) -> str:
     )
 
 
-SILVER_SCALED = [c for c in schema.SCALED_COLUMNS if not c.endswith("_count") or c == "passenger_count"]
-WITH_DISTANCE = f"SELECT *, {_select(DISTANCE)} FROM {{}}"
 ORACLES["scaling_stats"] = over(
-    "silver",
-    f'SELECT "column", {r("mean")} AS mean, {r("stddev")} AS stddev FROM ({_scaling("far", "TRUE", SILVER_SCALED)})',
-    far=WITH_DISTANCE.format("silver"),
+    "gold",
+    f'SELECT "column", {r("mean")} AS mean, {r("stddev")} AS stddev FROM ({_scaling("gold", "TRUE", schema.SCALED_COLUMNS)})',
 )
 ORACLES["split_thresholds"] = over(
     "trips",
@@ -358,11 +376,10 @@ def _stats(columns: list[str], source: str) -> str:
 
 
 ORACLES["scale_features"] = over(
-    "silver_split",
-    f"SELECT {KEY}, " + ", ".join(f"{r(f'({c} - {c}_mean) / {c}_std')} AS {c}" for c in SILVER_SCALED)
-    + " FROM far CROSS JOIN stats",
-    far=WITH_DISTANCE.format("silver_split"),
-    stats=_stats(SILVER_SCALED, "far"),
+    "gold_split",
+    f"SELECT {KEY}, " + ", ".join(f"{r(f'({c} - {c}_mean) / {c}_std')} AS {c}" for c in schema.SCALED_COLUMNS)
+    + " FROM gold_split CROSS JOIN stats",
+    stats=_stats(schema.SCALED_COLUMNS, "gold_split"),
 )
 
 FEATURE_EXPR: dict[str, str] = {}
@@ -417,11 +434,16 @@ _types = {
     "string": ["store_and_fwd_flag"],
 }
 _type_of = {c: t for t, columns in _types.items() for c in columns}
+# Filled with defaults, or constants of the view over the tables.
+_never_null = [*schema.NULL_DEFAULTS, "mta_tax", "improvement_surcharge", "VendorID", "tolls_amount", "cbd_congestion_fee"]
 ORACLES["profile_table"] = over(
     "silver",
-    "SELECT row_count, 21 AS column_count, position, name, type FROM (SELECT COUNT(*) AS row_count FROM silver), (VALUES "
-    + ", ".join(f"({i}, '{c}', '{_type_of.get(c, 'double')}')" for i, c in enumerate(schema.SILVER_COLUMNS))
-    + ") AS t(position, name, type)",
+    "SELECT row_count, 21 AS column_count, position, name, type, nullable"
+    " FROM (SELECT COUNT(*) AS row_count FROM silver), (VALUES "
+    + ", ".join(
+        f"({i}, '{c}', '{_type_of.get(c, 'double')}', {c not in _never_null})" for i, c in enumerate(schema.SILVER_COLUMNS)
+    )
+    + ") AS t(position, name, type, nullable)",
 )
 
 
@@ -635,7 +657,10 @@ ORACLES["drift_ztest"] = _drift(
 )
 ORACLES["drift_columns"] = _drift(
     f"SELECT c AS \"column\", is_numeric, ref_rows, cur_rows, n_values, {r('new_share')} AS new_share, method, {r('score')} AS score,"
-    " 'distance' AS score_kind, 0.1e0 AS threshold, score >= 0.1 AS drifted FROM detected",
+    " 'distance' AS score_kind, 0.1e0 AS threshold, score >= 0.1 AS drifted,"
+    f" (SELECT COUNT(*) FROM silver WHERE year({P}) <= {q.REFERENCE_UNTIL}) - ref_rows AS ref_missing,"
+    f" (SELECT COUNT(*) FROM silver WHERE year({P}) > {q.REFERENCE_UNTIL}) - cur_rows AS cur_missing,"
+    " (ref_rows = 0) <> (cur_rows = 0) AS emptied FROM detected",
     q.DRIFT_NUMERIC, q.DRIFT_CATEGORICAL, _ALL,
 )
 _share = "COUNT(*) FILTER (WHERE score >= 0.1) * 1e0 / COUNT(*)"
@@ -644,6 +669,7 @@ ORACLES["drift_summary"] = _drift(
     f"SELECT COUNT(*) AS n_columns, COUNT(*) FILTER (WHERE score >= 0.1) AS n_drifted, {r(_share)} AS share_drifted,"
     " COALESCE(STRING_AGG(CASE WHEN score >= 0.1 THEN c END, ',' ORDER BY c), '') AS drifted_columns,"
     f" {r(_target)} AS target_score, 'distance' AS target_score_kind, 0.1e0 AS target_threshold,"
+    " COALESCE(STRING_AGG(CASE WHEN (ref_rows = 0) <> (cur_rows = 0) THEN c END, ',' ORDER BY c), '') AS emptied_columns,"
     " COUNT(*) FILTER (WHERE score >= 0.1) > 0 AS dataset_drift FROM detected",
     q.DRIFT_NUMERIC, q.DRIFT_CATEGORICAL, _ALL,
 )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
+from functools import partial, reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from tripflow import fixtures, schema
 from tripflow.functions import time, trip
 from tripflow.operators import drift, encode, gold, metrics, models, profile, score, silver, split, validate
-from tripflow.sources import storage
+from tripflow.sources import records, storage
 from tripflow.streaming import monitor, run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,7 @@ KEY = fixtures.TRIP_KEY
 
 # Settings shared with the checking SQL.
 COMMITTED_UNTIL, FAILED_YEAR = 1996, 1997
+REPLACED_YEAR, EMPTIED_YEAR, GONE_YEAR = 1994, 1996, 1997
 REFERENCE_UNTIL = 1998
 SAMPLE_FRACTION, SEED, TRAIN_SHARE = 0.1, 42, 0.8
 CAP = 1000
@@ -119,6 +122,56 @@ def refresh_layer(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def refresh_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """All silver rows after three refreshes of a changing bronze, with how often their month was committed.
+
+    The second finds one year's distances halved (as many rows as before), another's fares all invalid, a third
+    gone, and the rest rewritten as it was; the third finds the invalid year as it first was.
+    """
+    first, second, ledger, out = (storage.shared_path(spark, n) for n in ("bronze", "bronze", "ledger", "silver"))
+    clean = partial(silver.clean, keep=KEY)
+    trips = storage.with_month(_trips(spark, sf))
+    storage.write_layer(trips, first, rebalance=True)
+    bronze = storage.scan_layer(spark, first)
+    storage.refresh_layer(bronze, ledger, out, clean)
+
+    halved = F.when(F.col("year") == REPLACED_YEAR, F.col("trip_distance") / 2).otherwise(F.col("trip_distance"))
+    invalid = F.when(F.col("year") == EMPTIED_YEAR, -1.0).otherwise(F.col("fare_amount"))
+    changed = bronze.where(F.col("year") != GONE_YEAR).withColumns({"trip_distance": halved, "fare_amount": invalid})
+    storage.write_layer(changed, second)
+    storage.refresh_layer(storage.scan_layer(spark, second), ledger, out, clean)
+
+    storage.write_layer(bronze.where(F.col("year") == EMPTIED_YEAR), second)
+    storage.refresh_layer(storage.scan_layer(spark, second), ledger, out, clean)
+    versions = spark.read.schema(schema.REFRESH_LEDGER).parquet(ledger).select(*storage.PARTITIONS, "version")
+    return storage.scan_layer(spark, out).join(versions, storage.PARTITIONS)
+
+
+@query
+def stage_records(spark: SparkSession, sf: str) -> DataFrame:
+    """What landing, a refresh and a failing validation left as records."""
+    log, landed, base, ledger, out = (storage.shared_path(spark, n) for n in ("runs", "landed", "bronze", "ledger", "silver"))
+    run_of = records.Run(spark, log, "stage_records")
+    trips = fixtures.trips(spark, sf).withColumn(storage.SOURCE, F.date_format(schema.PICKUP, "yyyy-MM"))
+    storage.land_months(trips, landed, rebalance=True, run=run_of)
+    by_month = storage.scan_layer(spark, landed).drop(storage.SOURCE)
+    storage.write_layer(by_month, base)
+    storage.refresh_layer(storage.scan_layer(spark, base), ledger, out, silver.clean, run=run_of)
+    with suppress(ValueError):
+        validate.validation_stage(storage.list_files(spark, sf), REQUIRED_EXAMPLE, run_of)
+    found = profile.latest_stage_run(spark.read.schema(schema.STAGE_RUNS).parquet(log), ["created_at_utc", "run_id"])
+    rows, number = F.col("data_rows"), F.col("metrics")
+    return found.select(
+        "stage",
+        "status",
+        F.coalesce(rows["read"], rows["found"], rows["files"]).cast("long").alias("rows_read"),
+        rows["written"].cast("long").alias("rows_written"),
+        F.coalesce(number["months"], number["sources"], number["failed_files"]).cast("long").alias("parts"),
+        F.split("error", ":")[0].alias("error"),
+    )
+
+
 @query
 def write_layer(spark: SparkSession, sf: str) -> DataFrame:
     path = storage.shared_path(spark, "silver")
@@ -162,9 +215,8 @@ def validate_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def validate_counts(spark: SparkSession, sf: str) -> DataFrame:
-    lines = validate.validate_counts(fixtures.table(spark, sf, "lineitem"), max_rows=2_000_000)
-    orders = validate.validate_counts(fixtures.table(spark, sf, "orders"), max_rows=2_000_000)
-    return lines.unionByName(orders).drop("file_path")
+    counts = [validate.validate_counts(fixtures.table(spark, sf, name), max_rows=2_000_000) for name in fixtures.TABLES]
+    return reduce(DataFrame.unionByName, counts).drop("file_path")
 
 
 @query
@@ -397,7 +449,7 @@ def assemble_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def profile_table(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.profile_table(_silver(spark, sf)).drop("nullable")
+    return profile.profile_table(_silver(spark, sf))
 
 
 @query
@@ -605,7 +657,7 @@ def drift_ztest(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def drift_columns(spark: SparkSession, sf: str) -> DataFrame:
     found = drift.drift_columns(_frequencies(spark, sf, DRIFT_NUMERIC, DRIFT_CATEGORICAL))
-    return rounded(found.drop("ref_missing", "cur_missing", "emptied"))
+    return rounded(found)
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -615,8 +667,8 @@ def _summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def drift_summary(spark: SparkSession, sf: str) -> DataFrame:
-    summary = _summary(spark, sf).drop("emptied_columns").withColumn("drifted_columns", F.array_join("drifted_columns", ","))
-    return rounded(summary)
+    lists = {c: F.array_join(c, ",") for c in ("drifted_columns", "emptied_columns")}
+    return rounded(_summary(spark, sf).withColumns(lists))
 
 
 @query

@@ -182,3 +182,13 @@ LEDGER = T.StructType(
         T.StructField("status", T.StringType()),
     ]
 )
+
+# What the ledger of a refresh knows of a month beyond that: its content, its files, and how often it was committed.
+REFRESH_LEDGER = T.StructType(
+    [
+        *LEDGER,
+        T.StructField("digest", T.StringType()),
+        T.StructField("files", T.StringType()),
+        T.StructField("version", T.IntegerType()),
+    ]
+)

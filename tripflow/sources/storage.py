@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow import schema
+from tripflow.sources import records
 
 LANDED_PATTERN = "trip_*.parquet"
 PARTITIONS = ["year", "month"]
@@ -227,48 +228,87 @@ def _same(left: str, right: str, columns: list[str]) -> Column:
     return reduce(Column.__and__, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
-def land_months(bronze: DataFrame, path: str, source: str = SOURCE, rebalance: bool = False) -> DataFrame:
-    """Write bronze in one job, then report rows per source and pickup month found in the written table.
+#: Folder of a bronze layer with what was landed, per source; Spark's readers pass over it.
+MANIFEST = "_landed"
+
+
+def _layer_files(spark: SparkSession, path: str) -> DataFrame:
+    """Name, size and partition folder of a layer's files: a listing, no content."""
+    return list_files(spark, path).select(
+        F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("file"), "bytes"
+    )
+
+
+def _folders(files: DataFrame) -> DataFrame:
+    """Per partition folder: files, bytes and an order-free hash of the names and sizes."""
+    return files.groupBy("folder").agg(
+        F.count("*").alias("files"),
+        F.sum("bytes").alias("bytes"),
+        F.sum(F.xxhash64("file", "bytes").cast("decimal(38,0)")).cast("string").alias("names"),
+    )
+
+
+def land_months(
+    bronze: DataFrame, path: str, source: str = SOURCE, rebalance: bool = False, run: records.Run | None = None
+) -> DataFrame:
+    """Write bronze in one job, then report rows per source and pickup month found in the files just written.
 
     The layer is partitioned by ``source``, the column that names the landed file (or its month):
     landing a file again replaces its own rows and no other's, also where files hold strays of each
     other's months. Pickup year and month are plain columns. A null pickup has null year and month.
 
-    ``status`` is 'success' only where the written rows equal the source rows. Rows that were there
-    before, from other sources, must be there after; those that differ are reported as 'failed' too.
+    The input is read once, and of the layer only what this landing wrote. ``status`` is 'success' where the rows in
+    the files are as many as the write counted; a difference makes all of this landing 'failed'. A manifest beside the
+    layer keeps each source's rows and files. Sources landed before whose files are no longer those of the
+    manifest are reported as 'failed' with -1 rows; this compares listings, and reads no content of theirs.
     """
     spark = bronze.sparkSession
     rows = with_month(bronze)
     keys = [source, *PARTITIONS]
-
-    def counted(df: DataFrame) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count("*").alias("rows"))
-
-    landing = written(counted(rows).withColumn("landed", F.lit(True)), "landing")
-    expected = landing
-    before = read_if_there(spark, path, rows.schema)
-    if before is not None:
-        others = before.alias("b").join(landing.select(source).distinct().alias("l"), _same("b", "l", [source]), "left_anti")
-        expected = landing.union(written(counted(others).withColumn("landed", F.lit(False)), "landed-before"))
-    write_layer(rows, path, [source], rebalance=rebalance)
-    found = counted(spark.read.schema(rows.schema).parquet(path))
-    success = F.col("e.rows").eqNullSafe(F.col("f.rows"))
-    return (
-        expected.alias("e")
-        .join(found.alias("f"), _same("e", "f", keys), "full")
-        .select(
-            *[F.coalesce(f"e.{k}", f"f.{k}").alias(k) for k in keys],
-            F.coalesce("f.rows", F.lit(-1)).alias("rows"),
-            F.when(success, "success").otherwise("failed").alias("status"),
-            "landed",
-        )
-        .where("landed OR status = 'failed'")
-        .drop("landed")
-    )
-
-
-def read_if_there(spark: SparkSession, path: str, layer_schema: T.StructType) -> DataFrame | None:
+    with records.recorded(run, "land_months") as stage:
+        before = written(_layer_files(spark, path), "files-before")
+        if rebalance:
+            rows = rows.hint("rebalance", source)
+        write_layer(stage.observe("written", rows), path, [source])
+        listed = written(_layer_files(spark, path), "files-after")
+        # One row per landed file or month, as in the inventory.
+        own = [r["folder"] for r in listed.join(before, ["folder", "file"], "left_anti").select("folder").distinct().collect()]
+        report = spark.createDataFrame([], T.StructType([*[rows.schema[k] for k in keys], T.StructField("rows", T.LongType())]))
+        if own:
+            landed = spark.read.schema(rows.schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in own])
+            by_month = landed.groupBy(*keys).agg(F.count("*").alias("rows"), F.max(_folder_of_file()).alias("_folder"))
+            report = written(by_month, "landing")
+        found = report.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
+        status = "success" if found == stage.observed_rows("written") else "failed"
+        stage.data_rows["found"] = found
+        stage.artifacts["layer"] = path
+
+        known = read_if_there(spark, f"{path}/{MANIFEST}")
+        lost = report.limit(0).select(*keys, "rows").withColumn("status", F.lit("failed"))
+        if known is not None:
+            same = [F.col(f"k.{c}") == F.col(f"f.{c}") for c in ("folder", "files", "bytes", "names")]
+            others = known.where(~F.col("folder").isin(own)) if own else known
+            lost = (
+                others.alias("k").join(_folders(listed).alias("f"), same, "left_anti")
+                .select(*keys, F.lit(-1).cast("long").alias("rows"), F.lit("failed").alias("status"))
+            )
+            lost = written(lost, "lost")
+        if own and status == "success":
+            manifest = report.join(_folders(listed), F.col("_folder") == F.col("folder")).drop("_folder")
+            # A folder of its own, as the manifest's partitions are named after the layer's.
+            write_layer(manifest.coalesce(1), f"{path}/{MANIFEST}", ["folder"])
+        stage.metrics["sources"] = len(own)
+    return report.select(*keys, "rows", F.lit(status).alias("status")).unionByName(lost)
+
+
+def _folder_of_file() -> Column:
+    return F.regexp_extract(F.url_decode("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+
+
+def read_if_there(spark: SparkSession, path: str, layer_schema: T.StructType | None = None) -> DataFrame | None:
     try:
+        if layer_schema is None:
+            return spark.read.parquet(path)
         return spark.read.schema(layer_schema).parquet(path).select(*layer_schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -276,13 +316,39 @@ def read_if_there(spark: SparkSession, path: str, layer_schema: T.StructType) ->
         return None
 
 
-def pending_partitions(source_months: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Source months the ledger does not show as committed with as many rows as they have now.
+def pending_partitions(source_months: DataFrame, ledger: DataFrame, match: tuple[str, ...] = ("rows",)) -> DataFrame:
+    """Source months the ledger does not show as committed with what they have now in the columns ``match``.
 
-    Leftovers of a failed write stay pending, and a month that got late rows is pending again.
+    Leftovers of a failed write stay pending, and a month that got late rows is pending again; one whose content was
+    replaced by as many rows is if ``match`` has the digest.
     """
     committed = ledger.where("status = 'committed'").alias("c")
-    return source_months.alias("s").join(committed, _same("s", "c", [*PARTITIONS, "rows"]), "left_anti")
+    return source_months.alias("s").join(committed, _same("s", "c", [*PARTITIONS, *match]), "left_anti")
+
+
+def month_digests(source: DataFrame) -> DataFrame:
+    """Rows and an order-free digest of all values per month. Equal rows count each; where nulls are counts too."""
+    values = [F.col(f"`{c}`") for c in source.columns if c not in PARTITIONS]
+    row_hash = F.xxhash64(*values, *[v.isNull() for v in values]).cast("decimal(38,0)")
+    return source.groupBy(*PARTITIONS).agg(F.count("*").alias("rows"), F.sum(row_hash).cast("string").alias("digest"))
+
+
+def month_files(source: DataFrame) -> DataFrame | None:
+    """An order-free digest of the path, size and time of each month's files, without reading content.
+
+    None where ``source`` is not made of one scan of files.
+    """
+    if source._jdf.queryExecution().analyzed().collectLeaves().length() != 1:
+        return None
+    try:
+        files = source.select(*PARTITIONS, *[f"_metadata.file_{c}" for c in ("path", "size", "modification_time")])
+    except AnalysisException as error:
+        if "UNRESOLVED_COLUMN" not in (error.getCondition() or ""):
+            raise
+        return None
+    names = [c for c in files.columns if c not in PARTITIONS]
+    digest = F.sum(F.xxhash64(*names).cast("decimal(38,0)")).cast("string")
+    return files.distinct().groupBy(*PARTITIONS).agg(digest.alias("files"))
 
 
 def months_condition(months: list[Row]) -> Column:
@@ -299,30 +365,96 @@ def months_condition(months: list[Row]) -> Column:
     return condition
 
 
+def _partition_folder(month: Row) -> str:
+    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if month[c] is None else month[c]}" for c in PARTITIONS)
+
+
+def _partition_files(spark: SparkSession, path: str, months: list[Row]) -> dict[str, set[str]]:
+    """File names in the folder of each month; one listing per month."""
+    found = {}
+    for folder in map(_partition_folder, months):
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+        found[folder] = {f.getPath().getName() for f in system.listStatus(hadoop)} if system.exists(hadoop) else set()
+    return found
+
+
+def _drop_folders(spark: SparkSession, path: str, folders: list[str]) -> None:
+    for folder in folders:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def refresh_layer(
     source: DataFrame,
     ledger_path: str,
     out_path: str,
     transform: Callable[[DataFrame], DataFrame],
+    complete: bool = True,
+    trust_files: bool = True,
+    run: records.Run | None = None,
 ) -> DataFrame:
-    """Process only pending months: overwrite their partitions, then their rows of the ledger.
+    """Process only pending months: replace their partitions, then their rows of the ledger.
+
+    A month is pending if it is new, or its rows or their digest are not those committed. The digest is
+    computed only for months whose files are not the committed ones either (path, size, time), so months at rest cost a
+    listing; a month rewritten with the same content gets its new files noted and is not processed. Pass
+    ``trust_files=False`` where ``source`` itself derives columns or filters rows in a way that may have changed.
+
+    A pending month's partition is replaced as a whole, also by nothing: where ``transform`` keeps none of its rows, the old
+    partition goes. So do those of months that ``source`` no longer has; their ledger rows become 'removed'. Pass
+    ``complete=False`` if ``source`` holds only some of the months.
 
     ``source`` has ``year`` and ``month``; rows without a pickup time are a month of nulls. A crash
-    between the two writes leaves the months pending; the next run overwrites the same partitions. The
-    ledger is partitioned by month, so it holds one row for each. Returns the ledger rows written.
+    before the last step leaves the months pending, and the next run does the same work again. The
+    ledger is partitioned by month, so it holds one row for each. Returns the ledger rows of the months processed.
     """
     spark = source.sparkSession
-    ledger = read_if_there(spark, ledger_path, schema.LEDGER)
-    if ledger is None:
-        ledger = spark.createDataFrame([], schema.LEDGER)
-    # One row per calendar month; taken once, as the same months must be written and then committed.
-    pending = pending_partitions(month_counts(source), ledger).collect()
-    committed = [(m["year"], m["month"], m["rows"], "committed") for m in pending]
-    commit = spark.createDataFrame(committed, schema.LEDGER)
-    if pending:
-        write_layer(with_month(transform(source.where(months_condition(pending)))), out_path)
-        write_layer(commit.coalesce(1), ledger_path)
-    return commit
+    with records.recorded(run, "refresh_layer") as stage:
+        ledger = read_if_there(spark, ledger_path, schema.REFRESH_LEDGER)
+        # One row per calendar month here and below; kept, as the ledger's files are replaced further down.
+        ledger = spark.createDataFrame([] if ledger is None else ledger.collect(), schema.REFRESH_LEDGER)
+        files, changed = month_files(source) if trust_files else None, source
+        if files is not None:
+            files = spark.createDataFrame(files.collect(), files.schema)
+            moved = pending_partitions(files, ledger, ("files",)).collect()
+            changed = source.where(months_condition(moved))
+        now = month_digests(changed)
+        now = now.withColumn("files", F.lit(None).cast("string")) if files is None else (
+            now.alias("n").join(files.alias("f"), _same("n", "f", PARTITIONS)).select("n.*", "files")
+        )
+        now = spark.createDataFrame(now.collect(), now.schema)
+        pending = pending_partitions(now, ledger, ("rows", "digest")).collect()
+        versions = {(m["year"], m["month"]): m["version"] or 0 for m in ledger.collect()}
+
+        def committed(month: Row, status: str = "committed", more: int = 1) -> tuple:
+            key = (month["year"], month["month"])
+            there = status == "committed"
+            rows, digest, names = (month["rows"], month["digest"], month["files"]) if there else (0, None, None)
+            return (*key, rows, status, digest, names, versions.get(key, 0) + more)
+
+        gone = []
+        if complete:
+            present = (month_counts(source) if files is None else files).alias("p")
+            held = ledger.where("status = 'committed'").alias("l")
+            gone = held.join(present, _same("l", "p", PARTITIONS), "left_anti").collect()
+        commit = [committed(m) for m in pending] + [committed(m, "removed") for m in gone]
+        at_rest = [committed(m, more=0) for m in now.collect() if m not in pending]
+
+        before = _partition_files(spark, out_path, [*pending, *gone])
+        if pending:
+            result = with_month(transform(source.where(months_condition(pending))))
+            write_layer(stage.observe("written", result), out_path)
+            stage.observed_rows("written")
+        after = _partition_files(spark, out_path, [*pending, *gone])
+        emptied = [folder for folder, names in after.items() if names and names <= before[folder]]
+        _drop_folders(spark, out_path, emptied)
+        if commit or at_rest:
+            write_layer(spark.createDataFrame(commit + at_rest, schema.REFRESH_LEDGER).coalesce(1), ledger_path)
+        stage.data_rows["read"] = sum(m["rows"] for m in pending)
+        stage.metrics |= {"months": len(pending), "emptied": len(emptied), "removed": len(gone)}
+        stage.artifacts["layer"] = out_path
+    return spark.createDataFrame(commit, schema.REFRESH_LEDGER)
 
 
 # --- caps, samples, projections ------------------------------------------------------------
