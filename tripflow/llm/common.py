@@ -85,6 +85,13 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, max_labels: in
     return documents.select("doc_id", "text").where("text IS NOT NULL").join(known, "doc_id")
 
 
+def as_text(column: str | Column, name: str | None = None) -> Column:
+    """A long as text, for the way through pandas: there a column of longs with nulls turns into doubles."""
+    column = F.col(column) if isinstance(column, str) else column
+    text = column.cast("long").cast("string")
+    return text.alias(name) if name else text
+
+
 def mixed(hashes: np.ndarray) -> np.ndarray:
     """Scramble 64-bit numbers (multiply, shift, twice), so that every bit depends on all."""
     h = hashes.astype(np.uint64, copy=True)

@@ -128,7 +128,7 @@ def edited(text: str, following: str) -> str:
 
 
 RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
 )
 
@@ -196,14 +196,15 @@ def fingerprints(documents: DataFrame, rarest: float = 0.0005, commonest: float
                         (held[0], len(held[1]), digest, held[3], altered, likeness(held[3], altered), likeness(held[3], own))
                     )
                 held = None if extra else (doc_id, text, place, own)
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
-            yield frame.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
 
     ordered = in_order(documents)
     return (
         ordered.repartition(common.shuffle_partitions(documents.sparkSession), "_range")
         .sortWithinPartitions("_range", "_extra", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+        .select(common.as_text("doc_id", "doc_id"), "text", "_range", "_extra")
         .mapInPandas(run, RESULT)
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
     )
 
 

@@ -118,8 +118,9 @@ def sketches(documents: DataFrame, width: int = 5, keys: int | None = 20, thresh
                 }
             )
 
-    schema = "doc_id long, text_hash long, n_shingles long, node binary, level int, keys array<long>, bits binary"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(), "text").mapInPandas(run, schema)
+    schema = "doc_id string, text_hash long, n_shingles long, node binary, level int, keys array<long>, bits binary"
+    rows = documents.select(common.as_text("doc_id", "doc_id"), text_hash(), "text").mapInPandas(run, schema)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def text_hash() -> Column:
@@ -570,6 +571,7 @@ WITH RECURSIVE words AS (
   UNION
   SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
 )
-SELECT s.doc_id, len(s.s) AS n_shingles, r.component_id
+SELECT s.doc_id, len(s.s) AS n_shingles, r.component_id, coalesce(l.links, 0) AS links
 FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON s.doc_id = r.a
+LEFT JOIN (SELECT a, count(*) AS links FROM links GROUP BY a) l ON s.doc_id = l.a
 """

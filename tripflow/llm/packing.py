@@ -99,12 +99,11 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_i
                     start = max(0, stop - capacity)
                     crc = zlib.crc32(ids[start:stop].tobytes()) if stop - start < len(ids) else digest
                     out.append((doc_id, piece, start, stop - start, crc, digest))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "digest"]).astype(
-                {"doc_id": batch["doc_id"].dtype}
-            )
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "digest"])
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, digest long"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, digest long"
+    rows = documents.select(common.as_text("doc_id", "doc_id"), "text").mapInPandas(run, schema)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def dearest_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:

@@ -63,12 +63,12 @@ def record(fields: dict[str, str], block: bytes) -> bytes:
 
 
 def records(batches: Iterator[pd.DataFrame], segment_bytes: int, chunk_bytes: int) -> Iterator[pd.DataFrame]:
-    """The WARC records of rows (page_id, number, url, payload, refers_to, first_number)."""
+    """The WARC records of rows (page_id, number, url, payload, refers_to, revisit); ids are texts."""
     for batch in batches:
         out = []
         for row in batch.itertuples(index=False):
             payload = bytes(row.payload)
-            page = "" if pd.isna(row.page_id) else str(int(row.page_id))
+            page = row.page_id or ""
             name = f"<urn:x-page:{page}:{int(row.number)}>"
             fields = {
                 "WARC-Type": "response",
@@ -81,11 +81,10 @@ def records(batches: Iterator[pd.DataFrame], segment_bytes: int, chunk_bytes: in
             }
             message = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
             if row.revisit:
-                target = "" if pd.isna(row.refers_to) else str(int(row.refers_to))
                 fields |= {
                     "WARC-Type": "revisit",
                     "WARC-Profile": REVISIT_PROFILE,
-                    "WARC-Refers-To": f"<urn:x-page:{target}:0>",
+                    "WARC-Refers-To": f"<urn:x-page:{row.refers_to or ''}:0>",
                     "X-Payload-Length": str(len(payload)),
                 }
             else:
@@ -153,7 +152,8 @@ def write(
         F.col("sha").isNotNull() & F.col("refers_to").isNotNull()
         & ~(F.col("refers_to").eqNullSafe(F.col("page_id")) & (F.col("number") == 0)),
     )
-    linked.select("page_id", "number", "url", "payload", "refers_to", "revisit").mapInPandas(
+    ids = [common.as_text(c, c) for c in ("page_id", "refers_to")]
+    linked.select(*ids, "number", "url", "payload", "revisit").mapInPandas(
         lambda batches: records(batches, segment_bytes, chunk_bytes), "record binary"
     ).select(F.col("record").cast("string")).write.option("lineSep", "\n").option("compression", "none").option(
         "maxRecordsPerFile", records_per_file
