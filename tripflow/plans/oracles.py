@@ -830,3 +830,27 @@ ORACLES["monitor_stream"] = log(
     " GROUP BY 1, 2, 3 HAVING time_bucket(INTERVAL '5' MINUTE, ANY_VALUE(ts)) + INTERVAL '5' MINUTE"
     " <= (SELECT MAX(ts) FROM log) - INTERVAL '10' MINUTE"
 )
+
+# --- the log arriving in files -------------------------------------------------------------
+
+for _name in ("request_totals", "latency_histogram"):
+    ORACLES[f"{_name}_stream"] = ORACLES[_name]
+ORACLES["prediction_shift_stream"] = ORACLES["prediction_shift_1h"]
+_second = "CAST(floor(epoch(ts)) AS BIGINT)"
+_five = bucket("'5' MINUTE")
+# Late: the window had closed by what the files before had shown.
+ARRIVED = (
+    f"arrived AS (SELECT log.*, {_five}, CAST(CASE WHEN event_id % {q.STRAGGLER} = 0 THEN {q.ARRIVALS - 1} ELSE"
+    f" floor(({_second} - low) * {q.ARRIVALS - 1} / (high - low + 1)) END AS BIGINT) AS batch"
+    f" FROM log CROSS JOIN (SELECT MIN({_second}) AS low, MAX({_second}) AS high FROM log)),"
+    " seen AS (SELECT b.batch, MAX(a.ts) AS seen FROM (SELECT DISTINCT batch FROM arrived) b JOIN arrived a"
+    " ON a.batch < b.batch GROUP BY b.batch),"
+    " judged AS (SELECT arrived.*, COALESCE(window_end <= seen - INTERVAL '10' MINUTE, FALSE) AS late"
+    " FROM arrived LEFT JOIN seen USING (batch))"
+)
+ORACLES["activity_stream"] = (
+    f"WITH log AS ({LOG}), {ARRIVED} SELECT window_start, window_end, endpoint, COUNT(*) AS requests,"
+    f" COUNT(error_type) AS errors, CAST(SUM(batch_size) AS BIGINT) AS predictions, {r('SUM(prediction_min)')} AS prediction_sum,"
+    " window_end > (SELECT MAX(ts) FROM log) - INTERVAL '10' MINUTE AS open FROM judged WHERE NOT late GROUP BY ALL"
+)
+ORACLES["late_activity"] = f"WITH log AS ({LOG}), {ARRIVED} SELECT event_id, ts, endpoint, batch FROM judged WHERE late"

@@ -800,3 +800,68 @@ def stage_latency_histogram(spark: SparkSession, sf: str) -> DataFrame:
 def monitor_stream(spark: SparkSession, sf: str) -> DataFrame:
     events = run.read_files(spark, sf, fixtures.table(spark, sf, "events").schema, "events.parquet")
     return rounded(run.monitor_stream(fixtures.prediction_log_from(events)), ["prediction_sum"])
+
+
+#: Files the log arrives in below: parts of its time span in order, then stragglers from all of it.
+ARRIVALS, STRAGGLER = 4, 50
+
+
+def _arrive(spark: SparkSession, sf: str, folder: str, arrival: int) -> None:
+    """Let one file of the log arrive in ``folder``."""
+    events = fixtures.table(spark, sf, "events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    span = events.agg(F.min(seconds).alias("low"), F.max(seconds).alias("high")).first()
+    part = F.floor((seconds - span["low"]) * (ARRIVALS - 1) / (span["high"] - span["low"] + 1))
+    arrived = F.when(F.col("event_id") % STRAGGLER == 0, ARRIVALS - 1).otherwise(part)
+    events.where(arrived == arrival).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _restarted(spark: SparkSession, sf: str, start: Callable[[DataFrame], DataFrame | None]) -> DataFrame | None:
+    """Run ``start`` on the log's stream each time another file has arrived; every run goes on where the last one ended."""
+    folder, found = storage.shared_path(spark, "log"), None
+    kind = fixtures.table(spark, sf, "events").schema
+    for arrival in range(ARRIVALS):
+        _arrive(spark, sf, folder, arrival)
+        found = start(fixtures.prediction_log_from(run.read_files(spark, folder, kind, max_files=1)))
+    return found
+
+
+def _upserted(spark: SparkSession, sf: str, summary: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    out, checkpoint = storage.shared_path(spark, "totals"), storage.shared_path(spark, "totals-checkpoint")
+    return _restarted(spark, sf, lambda log: run.upsert_stream(summary(log), out, checkpoint, keys))
+
+
+@query
+def request_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _upserted(spark, sf, monitor.request_totals, ["metric", "label"])
+
+
+@query
+def latency_histogram_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _upserted(spark, sf, monitor.latency_histogram, ["endpoint", "le"])
+
+
+@query
+def prediction_shift_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Nothing is late here: the delay spans the log, as stragglers come from all of it."""
+    out, checkpoint = storage.shared_path(spark, "shift"), storage.shared_path(spark, "shift-checkpoint")
+    found = _restarted(spark, sf, lambda log: run.shift_stream(log, out, checkpoint, delay="100 days"))
+    return rounded(found, ["mean_prediction", "mean_prediction_before", "shift"])
+
+
+def _activity(spark: SparkSession, sf: str) -> str:
+    out, checkpoint = storage.shared_path(spark, "activity"), storage.shared_path(spark, "activity-checkpoint")
+    _restarted(spark, sf, lambda log: run.activity_stream(log, out, checkpoint))
+    return out
+
+
+@query
+def activity_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Every window of the log with its state, open ones too."""
+    return rounded(run.activity(spark, _activity(spark, sf)), ["prediction_sum"])
+
+
+@query
+def late_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that came after their window had closed."""
+    return run.late_activity(spark, _activity(spark, sf)).select("event_id", "ts", "endpoint", "batch")
