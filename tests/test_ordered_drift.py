@@ -10,7 +10,21 @@ from tripflow.operators import drift, ordered, split
 from tripflow.sources.storage import written
 
 
-def test_running_counts_against_brute_force(spark):
+def test_ranges_grow_with_the_distinct_values(spark):
+    counts = [ordered.range_count(n, 100) for n in (0, 1, 100, 101, 200, 201, 800, 100 * 5000)]
+    assert counts == [1, 1, 1, 2, 2, 4, 8, 8192]
+    used = {}
+    for n in (50, 400, 3200):
+        frame = written(spark.range(n).select(F.lit("g").alias("g"), (F.col("id") * 3 - 7).alias("v"), F.lit(1).alias("n")), "t")
+        edges, count = ordered.range_edges(frame, "g", "v", 100)
+        ranged = ordered._with_range(frame.join(edges, "g"), "v", "_edges", count).groupBy("_range").count().collect()
+        used[n] = len(ranged)
+        assert count == ordered.range_count(n, 100) and max(r["count"] for r in ranged) <= 200
+    assert used == {50: 1, 400: 4, 3200: 32}
+
+
+@pytest.mark.parametrize("range_values", [40, 700, ordered.RANGE_VALUES])
+def test_running_counts_against_brute_force(spark, range_values):
     source = random.Random(7)
     # A third of all rows share one value; the tail is long; negatives and tiny gaps are in.
     values = {"a": {5.0: 4000}, "b": {0.0: 1}}
@@ -18,7 +32,7 @@ def test_running_counts_against_brute_force(spark):
         values["a"][source.choice([source.gauss(0, 1), source.expovariate(0.001), 1e12 * source.random()])] = source.randint(1, 5)
     rows = [(g, v, n, n % 3) for g, per in values.items() for v, n in per.items()]
     frame = written(spark.createDataFrame(rows, "g string, v double, n long, m long"), "t")
-    found = {(r.g, r.v): r for r in ordered.running_counts(frame, "g", "v", ["n", "m"]).collect()}
+    found = {(r.g, r.v): r for r in ordered.running_counts(frame, "g", "v", ["n", "m"], range_values).collect()}
     assert len(found) == len(rows)
     for group in values:
         n = m = 0

@@ -1,9 +1,9 @@
 """Running sums over sorted values and exact quantiles, without a one-task sort.
 
 Works on a frequency table (one row per group and value), so a value that holds a third of
-all rows is a single row here. Values are cut at approximate quantiles into buckets, each
-bucket is sorted on its own, and the bucket totals, one small row each, give the offsets.
-Bucket edges only steer the parallelism; the sums are exact whatever the edges are.
+all rows is a single row here. Values are cut at approximate quantiles into ranges, as many as the
+distinct values need; each range is sorted on its own, and the ranges' totals, one small row each, give the
+offsets. The edges only steer the parallelism; the sums are exact whatever the edges are.
 """
 
 from __future__ import annotations
@@ -13,64 +13,87 @@ from pyspark.sql import functions as F
 
 from tripflow.sources.storage import written
 
-# Power of two; with its 255 edges a bucket is found in eight comparisons.
-BUCKETS = 256
+#: Distinct values sorted in one task, or so; the number of ranges follows from it.
+RANGE_VALUES = 1 << 15
+#: Size of the sketch the edges come from: its ranks are right to about 0.05 %, whatever the number of values.
+SKETCH = 4096
 
 
-def _with_bucket(df: DataFrame, value: str, edges: str) -> DataFrame:
-    """Add ``_bucket``, the number of sorted edges below the value: a binary search, one column a step."""
-    df = df.withColumn("_bucket", F.lit(0))
-    step = BUCKETS // 2
+def range_count(values: int, range_values: int = RANGE_VALUES) -> int:
+    """Ranges for so many distinct values: a power of two, so that a binary search finds a value's range."""
+    return 1 << max(0, -(-values // range_values) - 1).bit_length()
+
+
+def range_edges(frequencies: DataFrame, group: str, value: str, range_values: int) -> tuple[DataFrame, int]:
+    """``_edges`` of each group, and the number of ranges.
+
+    They come from written sketches, as an edge must be the same wherever it is read and sketches draw at random.
+    Sketches are merged, not values: a task holds one per group, and what it sends on does not grow with the data.
+    """
+    number = F.col(value).cast("double")
+    sketched = written(
+        frequencies.groupBy(group).agg(F.count("*").alias("_n"), F.kll_sketch_agg_double(number, SKETCH).alias("_sketch")), "edges"
+    )
+    count = range_count(sketched.agg(F.max("_n")).first()[0] or 0, range_values)
+    ranks = ", ".join(f"{i / count!r}D" for i in range(1, count))
+    edges = F.kll_sketch_get_quantile_double("_sketch", F.expr(f"array({ranks})")) if count > 1 else F.expr("array(0D)")
+    return sketched.select(group, edges.alias("_edges")), count
+
+
+def _with_range(df: DataFrame, value: str, edges: str, count: int) -> DataFrame:
+    """Add ``_range``, the number of sorted edges below the value: a binary search, one column a step."""
+    df = df.withColumn("_range", F.lit(0))
+    step = count // 2
     while step:
-        above = F.get(edges, F.col("_bucket") + (step - 1)) < F.col(value)
-        df = df.withColumn("_bucket", F.col("_bucket") + F.when(above, step).otherwise(0))
+        above = F.get(edges, F.col("_range") + (step - 1)) < F.col(value).cast("double")
+        df = df.withColumn("_range", F.col("_range") + F.when(above, step).otherwise(0))
         step //= 2
     return df
 
 
-def running_counts(frequencies: DataFrame, group: str, value: str, counts: list[str]) -> DataFrame:
+def running_counts(
+    frequencies: DataFrame, group: str, value: str, counts: list[str], range_values: int = RANGE_VALUES
+) -> DataFrame:
     """Add ``running_<c>``, ``total_<c>`` for each count column, and ``next_value``.
 
     ``frequencies`` holds one row per (group, value), value neither null nor NaN. It is read
     twice (edges, sums), so pass a written table. ``group`` names a handful of columns, not
-    data keys: both broadcast tables have at most BUCKETS rows per group.
+    data keys: the edges and the ranges' totals have a number per group and ``range_values`` values.
     """
     frequencies = frequencies.select(group, value, *counts)
-    edges = frequencies.groupBy(group).agg(
-        F.percentile_approx(value, [i / BUCKETS for i in range(1, BUCKETS)], 10000).alias("_edges")
-    )
-    # One shuffle serves both the bucket totals and the sums inside the buckets.
+    edges, count = range_edges(frequencies, group, value, range_values)
+    # One shuffle serves both the totals and the sums inside the ranges.
     bucketed = (
-        _with_bucket(frequencies.join(F.broadcast(edges), group), value, "_edges")
+        _with_range(frequencies.join(edges, group), value, "_edges", count)
         .drop("_edges")
-        .repartition(group, "_bucket")
+        .repartition(group, "_range")
     )
 
     of_group = Window.partitionBy(group)
-    by_bucket = of_group.orderBy("_bucket")
-    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    by_range = of_group.orderBy("_range")
+    before = by_range.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(group, "_bucket")
+        bucketed.groupBy(group, "_range")
         .agg(F.min(value).alias("_first"), *[F.sum(c).alias(f"_sum_{c}") for c in counts])
         .select(
             group,
-            "_bucket",
-            F.lead("_first").over(by_bucket).alias("_next_first"),
+            "_range",
+            F.lead("_first").over(by_range).alias("_next_first"),
             *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_offset_{c}") for c in counts],
             *[F.sum(f"_sum_{c}").over(of_group).alias(f"total_{c}") for c in counts],
         )
     )
 
-    in_bucket = Window.partitionBy(group, "_bucket").orderBy(value)
-    so_far = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_range = Window.partitionBy(group, "_range").orderBy(value)
+    so_far = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         bucketed.withColumns(
             {
                 **{f"_in_{c}": F.sum(c).over(so_far) for c in counts},
-                "_next": F.lead(value).over(in_bucket),
+                "_next": F.lead(value).over(in_range),
             }
         )
-        .join(F.broadcast(offsets), [group, "_bucket"])
+        .join(offsets, [group, "_range"])
         .select(
             group,
             value,
