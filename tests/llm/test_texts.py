@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -237,6 +238,72 @@ def test_recurring_paragraphs_without_a_main_element_go(spark):
     assert {r["text"] for r in found} == {f"Text number {i}" for i in range(9)}
 
 
+@pytest.mark.parametrize("box, inside", [
+    ('<main class="has-sidebar">', "x"), ('<article class="post ad-free">', "x"), ('<article id="post-share">', "x"),
+    ('<article class="sidebar">', "x"), ('<div class="page no-sidebar">', "x"), ("<main>", '<p class="share-price">x</p>'),
+    ("<article>", '<div id="banner-history">x</div>'), ("<article>", '<p class="notice">x</p>'), ("<main>", '<h2 id="ads">x</h2>'),
+])
+def test_class_names_do_not_lose_the_article(box, inside):
+    assert html_text.main_text(f"<body><nav>n</nav>{box}<p>text</p>{inside}</body>", set()).split() == ["text", "x"]
+
+
+@pytest.mark.parametrize("box", [
+    '<div class="ad">', '<div class="x cookie-notice">', '<section id="site-footer">', '<div class="sidebar_left">',
+    '<article class="comments">', '<div class="Top-Banner2">',
+])
+def test_class_names_of_other_boxes(box):
+    page = f"<main><p>text</p>{box}<p>y</div></section></article></main>"
+    assert html_text.main_text(page, set()) == "text"
+
+
+def test_repeated_articles_are_no_template(spark):
+    page = "<html><head><title>{n}</title></head><body><div id=top>Site</div><div><p>The same story</p><p>in two parts</p></div></body>"
+    other = "<body><div id=top>Site</div><div><p>Story number {n}</p></div></body>"
+    data = [(i, "http://h/x", page.replace("{n}", str(i))) for i in range(6)]
+    data += [(10 + i, "http://h/x", other.replace("{n}", str(i))) for i in range(7)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert {found[i] for i in range(6)} == {"The same story in two parts"}
+    assert {found[10 + i] for i in range(7)} == {f"Story number {i}" for i in range(7)}
+
+
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    pages = [(i, "http://h/x", f"<body><div>{'Seen by six' if i < 6 else 'Own ' + str(i)}</div><div><p>Text {i}</p></div></body>") for i in range(900)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == (f"Text {i}" if i < 6 else f"Own {i} Text {i}") for i in range(900))
+
+
+def brute_templates(pages, least=5):
+    """Subtree hashes of each host with as many different rests, by plain loops over whole pages."""
+    rests = {}
+    for url, page in pages:
+        for subtree, rest in html_text.template_candidates(page):
+            rests.setdefault((url, subtree), set()).add(rest)
+    return {k for k, v in rests.items() if len(v) >= least}
+
+
+def test_templates_equal_brute_force(spark, sf):
+    pages = common.table(spark, sf, "pages").select("page_id", "url", "html", html_text.host().alias("h")).where("html IS NOT NULL")
+    rows = pages.collect()
+    many = brute_templates([(r["h"], r["html"]) for r in rows])
+    keys = {r["page_key"]: r["page_id"] for r in pages.select(html_text.page_key(), "page_id").collect()}
+    found = {keys[r["page_key"]]: set(r["template"]) for r in html_text.templates(pages.drop("h")).collect()}
+    expected = {r["page_id"]: {s for s, _ in html_text.template_candidates(r["html"]) if (r["h"], s) in many} for r in rows}
+    assert found == {i: t for i, t in expected.items() if t}
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a " * 100_000 + '"', "<a '" * 100_000 + ">", "<a<a" * 100_000 + ' "x>', '<a "' * 100_001, "<a \"'" * 100_000,
+    "<div>" * 20_000 + "</p>" * 20_000, "<div>" * 20_000 + "</b>" * 20_000, "<span>" * 20_000 + "<p>" * 20_000,
+    "<li>" * 20_000, "<b><p>" * 20_000, "</" * 100_000, "<!" * 100_000, "<script" * 50_000, "<script>x" * 50_000, "<" * 300_000,
+    "<table><tr><td>" * 10_000 + "<tr>" * 10_000, "<p a='" * 50_000 + "'>" * 10,
+])
+def test_broken_long_pages_take_time_in_proportion(page):
+    start = time.perf_counter()
+    html_text.main_text(page, {1})
+    html_text.template_candidates(page)
+    assert time.perf_counter() - start < 8
+
+
 def test_deep_and_broken_markup():
     assert html_text.main_text("<div>" * 5000 + "deep", set()) == "deep"
     assert html_text.main_text("a < b <3 <p class='x>y</p>", set()).startswith("a < b <3")

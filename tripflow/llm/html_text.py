@@ -1,13 +1,16 @@
 """Main text of web pages: recurring element subtrees of a host are its template and are removed.
 
 Every page is parsed into a tree. Each subtree has a hash of its tag, class, texts and children. Spark counts
-on how many pages of a host a subtree occurs; those on many are the host's template. Each page then gets the list of its
+with how many different rests of a page a subtree occurs on a host; those with many are the host's template. Copies of
+a page have one rest and count once, so a repeated article is no template, on a host of any size. Each page then gets the list of its
 own template subtrees, by a join on the page, and is extracted without them. What no two pages share, such as an advert with its own text, is
-known by its element (``nav``, ``aside``, ``form``, ``script``, ...) or by its class, id or role.
+known by its element (``nav``, ``aside``, ``form``, ``script``, ...) or by its role, class or id: a whole class token, or one put
+together of such names and words of place only (``site-footer``, but not ``has-sidebar`` or ``share-price``).
 
-An ``article`` or ``main`` element, if there is one, holds the text, and is never part of the template itself; within it paragraphs and
-headings stay even if other pages repeat them (copies of an article are no template), while recurring lists, boxes and
-tables go. Without such an element, the rest of the body is the text.
+An ``article`` or ``main`` element, if there is one, holds the text, and is never part of the template itself, whatever its class; within it
+paragraphs and headings stay even if other pages repeat them, while recurring lists, boxes and
+tables go. Without such an element, the rest of the body is the text. Pages are read with a cursor that never goes
+back, so that broken ones take time in proportion to their length too.
 
 Blocks and line breaks are separated by a space, inline elements are not; character references are decoded. Defined results: a null or
 empty page has the empty text; null URLs are a host of their own; rows that repeat a page id are extracted each from its own html, and equal rows
@@ -17,6 +20,8 @@ through; ``text`` and ``n_chars`` are replaced.
 
 from __future__ import annotations
 
+import bisect
+import functools
 import html as references
 import re
 from collections.abc import Iterator
@@ -28,12 +33,10 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import common
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z/][^<>]*\Z|[^<]+|<""",
-    re.S,
-)
+TAG_NAME = re.compile(r"/?[a-zA-Z][^\s/<>]*")
+SPECIAL = re.compile(r"""[>"']""")
 MARKS = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-NAME_PART = re.compile(r"[a-z]+")
+NAME_PART = re.compile(r"[a-z]+|[^a-z0-9_\s-]")
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {
@@ -60,10 +63,19 @@ NOT_TEXT_NAMES = {
     "navigation", "newsletter", "notice", "pager", "pagination", "popup", "promo", "related", "share", "sharing", "sidebar",
     "signup", "social", "sponsor", "sponsored", "subscribe", "widget",
 }
+#: Words that say where something is, not what it is.
+PLACES = {
+    "area", "bar", "block", "bottom", "box", "center", "container", "global", "inner", "left", "links", "list", "main", "outer", "page",
+    "right", "section", "site", "top", "wrap", "wrapper",
+}
 #: Elements that may be template inside the main element.
+KEPT = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 BOXES = {"div", "section", "ul", "ol", "dl", "table", "figure", "header", "details", "center"}
 
 
+ALL_BITS = (1 << 64) - 1
+
+
 class Node:
     __slots__ = ("tag", "marks", "role", "parts", "parent", "holds_main", "in_main")
 
@@ -74,55 +86,126 @@ class Node:
         self.in_main = parent is not None and (parent.in_main or parent.tag in MAIN or parent.role == "main")
 
 
+class Reader:
+    """Reads a page token by token with a cursor ``at``.
+
+    A quoted ``>`` does not end a tag. A ``<`` that begins no whole tag is text, but an unfinished tag at the end of the page
+    is nothing. Where a search for the end of a tag has failed is kept, and a later search that comes by fails at once.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at = page, 0
+        self.last = {c: page.rfind(c) for c in "<>\"'"}
+        self.dead: set[int] = set()
+        self.found = (0, -1)  # from where a special character was looked for, and where it is
+
+    def _special(self, start: int) -> int:
+        if not self.found[0] <= start <= self.found[1]:
+            match = SPECIAL.search(self.page, start) if start <= max(self.last[c] for c in ">\"'") else None
+            self.found = (start, match.start() if match else len(self.page))
+        return self.found[1]
+
+    def _tag_end(self, start: int) -> int:
+        """Where the first ``>`` outside quotes is, or -1."""
+        passed = []
+        while start <= self.last[">"]:
+            special = self._special(start)
+            if special in self.dead or special == len(self.page):
+                break
+            passed.append(special)
+            quote = self.page[special]
+            if quote == ">":
+                return special
+            close = self.page.find(quote, special + 1) if special < self.last[quote] else -1
+            if close < 0:
+                break
+            start = close + 1
+        self.dead.update(passed)
+        return -1
+
+    def next(self) -> tuple[str, str, str] | None:
+        """A start tag's name and attributes, an end tag's name after a slash, or ("", "", text); None at the end."""
+        page = self.page
+        while self.at < len(page):
+            at = self.at
+            if page[at] != "<":
+                stop = page.find("<", at) if at <= self.last["<"] else -1
+                self.at = len(page) if stop < 0 else stop
+                return "", "", page[at : self.at]
+            if page.startswith("<!--", at):
+                stop = page.find("-->", at)
+                self.at = len(page) if stop < 0 else stop + 3
+                continue
+            name = TAG_NAME.match(page, at + 1)
+            end = self._tag_end(name.end()) if name else -1
+            if end >= 0:
+                self.at = end + 1
+                return name[0].lower(), page[name.end() : end], ""
+            if page[at + 1 : at + 2] in ("!", "?", "/"):
+                stop = page.find(">", at) if at <= self.last[">"] else -1
+                self.at = len(page) if stop < 0 else stop + 1
+                continue
+            self.at = at + 1
+            if name is None or at < max(self.last["<"], self.last[">"]):
+                return "", "", "<"
+            self.at = len(page)
+        return None
+
+
 def parse(page: str) -> Node:
     """The tree of a page; texts are raw, comments and the contents of scripts and the like left out."""
-    root = node = Node("", "", "", None)
-    at, match = 0, TOKEN.match
-    while at < len(page):
-        token = match(page, at)
-        at = token.end()
-        name = token[2]
-        if name is None:
-            text = token[0]
-            if text[0] != "<" or text == "<":
-                node.parts.append(text)
+    root = Node("", "", "", None)
+    stack, scopes = [root], [0]
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of a name are
+
+    def cut(size: int) -> None:
+        while len(stack) > size:
+            gone = stack.pop()
+            places[gone.tag].pop()
+            if gone.tag in SCOPES:
+                scopes.pop()
+
+    reader = Reader(page)
+    while token := reader.next():
+        tag, attributes, text = token
+        if not tag:
+            stack[-1].parts.append(text)
             continue
-        tag = name.lower()
-        if token[1]:
-            above = node
-            while above.parent is not None and above.tag != tag:
-                above = above.parent
-            if above.parent is not None:
-                node = above.parent
+        if tag[0] == "/":
+            if places.get(tag[1:]):
+                cut(places[tag[1:]][-1])
             continue
         closed = ENDS.get(tag)
         if closed or tag not in INLINE and tag not in VOID:
             # A block ends an open paragraph, an item the item before it, within the same list or box.
-            above, wanted = node, (closed or set()) | (set() if tag in INLINE else {"p"})
-            while above.parent is not None and above.tag not in SCOPES:
-                if above.tag in wanted:
-                    node = above.parent
-                above = above.parent
+            wanted = (closed or set()) | (set() if tag in INLINE else {"p"})
+            inside = [(found, bisect.bisect_right(found, scopes[-1])) for found in map(places.get, wanted) if found]
+            outer = [found[k] for found, k in inside if k < len(found)]
+            if outer:
+                cut(min(outer))
         marks = role = ""
-        if token[3]:
-            for key, value in MARKS.findall(token[3]):
+        if attributes:
+            for key, value in MARKS.findall(attributes):
                 value = value.strip("\"'").lower()
                 if key.lower() == "role":
                     role = value
                 else:
                     marks = f"{marks} {value}"
-        child = Node(tag, marks, role, node)
-        node.parts.append(child)
+        child = Node(tag, marks, role, stack[-1])
+        stack[-1].parts.append(child)
         if tag in MAIN or role == "main":
-            above = node
-            while above is not None and not above.holds_main:
+            for above in reversed(stack):
+                if above.holds_main:
+                    break
                 above.holds_main = True
-                above = above.parent
         if tag in RAW:
-            end = re.compile(f"</{tag}[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not token[3].endswith("/"):
-            node = child
+            end = re.compile(f"</{tag}[^>]*>?", re.I).search(page, reader.at)
+            reader.at = end.end() if end else len(page)
+        elif tag not in VOID and not attributes.endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(child)
+            if tag in SCOPES:
+                scopes.append(len(stack) - 1)
     return root
 
 
@@ -139,9 +222,17 @@ def not_text(node: Node) -> bool:
         return False
     if node.tag in NEVER_TEXT or node.role in NOT_TEXT_ROLES or node.tag == "header" and not node.in_main:
         return True
-    if not node.marks:
+    # The main element keeps its text whatever it is called, and so do paragraphs and headings in it.
+    if not node.in_main and (node.tag in MAIN or node.role == "main") or node.in_main and node.tag in KEPT:
         return False
-    return not NOT_TEXT_NAMES.isdisjoint(NAME_PART.findall(node.marks))
+    return any(map(names_no_text, node.marks.split()))
+
+
+@functools.lru_cache(4096)
+def names_no_text(token: str) -> bool:
+    """Whether a class or id says that an element is no text: all its words do, or tell a place only."""
+    words = set(NAME_PART.findall(token))
+    return not NOT_TEXT_NAMES.isdisjoint(words) and words <= NOT_TEXT_NAMES | PLACES
 
 
 def subtree_hashes(root: Node) -> dict[int, int]:
@@ -165,17 +256,38 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return hashes
 
 
-def template_candidates(page: str) -> list[int]:
-    """Hashes of the page's subtrees that may be template, each once."""
+def text_sums(root: Node) -> dict[int, int]:
+    """By the node's identity, the sum of the hashes of the texts in a subtree, but for those of a page's head."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [p for p in node.parts if type(p) is not str and p.tag != "head"]
+    sums: dict[int, int] = {}
+    for node in reversed(order):
+        total = 0
+        for part in node.parts:
+            if type(part) is not str:
+                total += sums.get(id(part), 0)
+            elif text := " ".join(part.split()):
+                total += xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+        sums[id(node)] = total & ALL_BITS
+    return sums
+
+
+def template_candidates(page: str) -> list[tuple[int, int]]:
+    """Hashes of the page's subtrees that may be template, each once, with one of the texts of the rest of the page."""
     root = parse(page)
-    hashes = subtree_hashes(root)
-    found, todo = set(), [root]
+    hashes, sums = subtree_hashes(root), text_sums(root)
+    whole = sums[id(root)]
+    found, todo = {}, [root]
     while todo:
         node = todo.pop()
         if removable(node):
-            found.add(hashes[id(node)])
+            rest = (whole - sums.get(id(node), 0)) & ALL_BITS
+            found.setdefault(hashes[id(node)], rest - (1 << 63))
         todo += [p for p in node.parts if type(p) is not str]
-    return sorted(found)
+    return sorted(found.items())
 
 
 def main_text(page: str, template: set[int]) -> str:
@@ -210,34 +322,40 @@ def host() -> Column:
     return F.coalesce(found, F.lit(""))
 
 
-def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.02) -> DataFrame:
-    """``page_key`` and ``template``: the page's subtrees that recur on many pages of its host.
+def templates(pages: DataFrame, least_rests: int = 5) -> DataFrame:
+    """``page_key`` and ``template``: the page's subtrees that recur on its host with ``least_rests`` different rests of a page.
 
-    Many is ``least_share`` of the host's pages, and ``least_pages`` at least.
+    The count does not depend on how many pages the host has. The head is no part of a rest.
     """
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = [template_candidates(h) for h in batch["html"]]
             yield pd.DataFrame(
-                {"page_key": batch["page_key"], "host": batch["host"], "subtree": [template_candidates(h) for h in batch["html"]]}
+                {
+                    "page_key": batch["page_key"],
+                    "host": batch["host"],
+                    "subtree": [[s for s, _ in f] for f in found],
+                    "rest": [[r for _, r in f] for f in found],
+                }
             )
 
     keyed = pages.select(page_key(), host().alias("host"), "html").where("html IS NOT NULL")
     found = common.stored(
-        keyed.mapInPandas(candidates, "page_key long, host string, subtree array<long>")
+        keyed.mapInPandas(candidates, "page_key long, host string, subtree array<long>, rest array<long>")
         .withColumn("host", F.xxhash64("host")),
         "html-subtrees",
     )
-    each = found.select("page_key", "host", F.explode("subtree").alias("subtree"))
-    sizes = found.groupBy("host").agg(F.count("*").alias("pages"))
+    # Equal pairs combine before the shuffle, so copies of a page cost a row per task.
     many = (
-        each.groupBy("host", "subtree")
+        found.select("host", F.inline(F.arrays_zip("subtree", "rest")))
+        .distinct()
+        .groupBy("host", "subtree")
         .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= least_pages)
-        .join(sizes, "host")
-        .where(F.col("n") >= F.col("pages") * least_share)
+        .where(F.col("n") >= least_rests)
         .select("host", "subtree")
     )
+    each = found.select("page_key", "host", F.explode("subtree").alias("subtree"))
     return (
         each.join(common.stored(many, "html-templates"), ["host", "subtree"])
         .groupBy("page_key")
@@ -249,10 +367,10 @@ def page_key() -> Column:
     return F.xxhash64("page_id", "url", "html").alias("page_key")
 
 
-def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.02) -> DataFrame:
+def extract(pages: DataFrame, least_rests: int = 5) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars``."""
     kept = [c for c in pages.columns if c not in ("text", "n_chars")]
-    own = common.stored(templates(pages, least_pages, least_share), "html-page-templates")
+    own = common.stored(templates(pages, least_rests), "html-page-templates")
 
     @F.pandas_udf("string")
     def text(html: pd.Series, template: pd.Series) -> pd.Series:
