@@ -390,3 +390,28 @@ def test_pipeline_stages(spark, sf):
         before = after
     last = corpus_pipeline.STAGES[-1][1](spark, before, sf)
     assert last.select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
+
+
+@pytest.mark.parametrize("text", [
+    " " * 100_000, "x" + " " * 99_999 + "y", "=" * 50_000, "- " * 30_000, "\t" * 40_000, "ab" * 40_000, "\n \n" * 20_000, "─" * 20_000,
+])
+def test_long_runs_are_counted_in_time(text):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=token_counts.model_path())
+    merges = token_counts.Merges(token_counts.model_path())
+    merges.table
+    start = time.perf_counter()
+    found = int(token_counts.count_words(token_counts.split_words(text), merges).sum())
+    took = time.perf_counter() - start
+    assert found == len(library.encode(text)) and took < 3
+
+
+def test_random_runs_equal_the_library():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=token_counts.model_path())
+    merges, draw = token_counts.Merges(token_counts.model_path()), random.Random(11)
+    texts = ["".join(c * draw.randrange(1, 150) for c in draw.choices(" =-_.\n\tab0─", k=draw.randrange(1, 9))) for _ in range(400)]
+    for text in texts:
+        assert int(token_counts.count_words(token_counts.split_words(text), merges).sum()) == len(library.encode(text)), repr(text)

@@ -7,7 +7,8 @@ finds its pair of lowest rank (leftmost of equals) and all words merge theirs at
 done. What survives is counted: a symbol of the vocabulary once, any other character by its UTF-8 bytes.
 
 A word too long to go one merge at a time merges all places of its lowest pair in a step when no pair
-that arises could come before it, so the steps follow the ranks, not the length.
+that arises could come before it, so the steps follow the ranks, not the length. Where one could, as in long runs of blanks,
+the rest of that word is merged one place after the other from a queue, in n log n.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens. Ids may be null or repeated; each row is
 counted on its own. Texts of any length are counted whole. An empty table gives an empty result. Columns that clash
@@ -16,6 +17,8 @@ with the results' names are replaced; others pass through.
 
 from __future__ import annotations
 
+import functools
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -64,6 +67,11 @@ class Merges:
         number = self.ids.get(text)
         return self.size + ord(text) if number is None and len(text) == 1 else number
 
+    @functools.cached_property
+    def table(self) -> dict[int, tuple[int, int]]:
+        """Rank and result by pair."""
+        return dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.joined.tolist()), strict=True))
+
     def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair, ``NEVER`` if it does not merge, and the symbol it becomes."""
         keys = left << 32 | right
@@ -101,7 +109,14 @@ def count_words(words: list[str], merges: Merges) -> np.ndarray:
         best = rank == np.repeat(lowest, length)
         places = np.flatnonzero(best)
         leading = places[np.r_[True, owner[places[1:]] != owner[places[:-1]]]]
-        chosen = _all_places(places, leading, symbols, owner, rank, joined, length, start, merges)
+        chosen, slow = _all_places(places, leading, symbols, owner, rank, joined, length, start, merges)
+        if len(slow):
+            ends = np.searchsorted(owner, slow), np.searchsorted(owner, slow, "right")
+            for word, low, high in zip(slow, *ends, strict=True):
+                total[word] += one_by_one(symbols[low:high].tolist(), cost[low:high].tolist(), merges)
+            others = ~np.isin(owner, slow)
+            symbols, owner, cost, rank, joined = (x[others] for x in (symbols, owner, cost, rank, joined))
+            continue
         symbols[chosen] = joined[chosen]
         cost[chosen] = 1
         keep = np.ones(len(symbols), bool)
@@ -118,6 +133,37 @@ def count_words(words: list[str], merges: Merges) -> np.ndarray:
     return total
 
 
+def one_by_one(symbols: list[int], cost: list[int], merges: Merges) -> int:
+    """Tokens of one word, always merging the leftmost pair of lowest rank next."""
+    n, table = len(symbols), merges.table
+    before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+    queue: list[tuple[int, int, int, int]] = []
+
+    def offer(left: int, right: int) -> None:
+        pair = symbols[left] << 32 | symbols[right]
+        if pair in table:
+            rank, new = table[pair]
+            heapq.heappush(queue, (rank, left, pair, new))
+
+    for i in range(n - 1):
+        offer(i, i + 1)
+    while queue:
+        _, left, pair, new = heapq.heappop(queue)
+        right = after[left]
+        # Gone: one of both has merged with something else.
+        if symbols[left] < 0 or right < 0 or symbols[left] << 32 | symbols[right] != pair:
+            continue
+        symbols[left], cost[left] = new, 1
+        symbols[right], cost[right] = -1, 0
+        after[left] = after[right]
+        if after[left] >= 0:
+            before[after[left]] = left
+            offer(left, after[left])
+        if before[left] >= 0:
+            offer(before[left], left)
+    return sum(cost)
+
+
 def _ranked(symbols: np.ndarray, owner: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     return _ranked_at(np.arange(len(symbols)), symbols, owner, merges)
 
@@ -130,10 +176,10 @@ def _ranked_at(at: np.ndarray, symbols: np.ndarray, owner: np.ndarray, merges: M
     return rank, joined
 
 
-def _all_places(places, leading, symbols, owner, rank, joined, length, start, merges, long: int = 64) -> np.ndarray:
-    """The leftmost place of each word's lowest pair; in long words all its places that are safe to merge at once."""
+def _all_places(places, leading, symbols, owner, rank, joined, length, start, merges, long: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The leftmost place of each word's lowest pair; in long words all its places. Second: long words where that is not safe."""
     if not (length > long).any():
-        return leading
+        return leading, leading[:0]
     word_length = np.zeros(int(owner.max()) + 1, np.int64)
     word_length[owner[start]] = length
     many = places[word_length[owner[places]] > long]
@@ -156,7 +202,7 @@ def _all_places(places, leading, symbols, owner, rank, joined, length, start, me
     arising = np.minimum(np.minimum(low_after, low_before), np.minimum(low_after_plain, low_before_plain))
     unsafe = np.unique(owner[many[arising <= rank[many]]])
     safe = many[~np.isin(owner[many], unsafe)]
-    return np.sort(np.concatenate([safe, leading[~np.isin(leading, safe) & ~np.isin(owner[leading], owner[safe])]]))
+    return np.sort(np.concatenate([safe, leading[~np.isin(leading, safe) & ~np.isin(owner[leading], owner[safe])]])), unsafe
 
 
 class Counts(dict):
