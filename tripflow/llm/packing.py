@@ -216,15 +216,19 @@ def solve(
     """Patterns (lengths, longest first) with the number of sequences of each; all counts are used up.
 
     The program is solved anew for what rounding leaves, until rounding leaves nearly all; the
-    rest is packed best-fit decreasing. The first prices are those of a best-fit packing.
+    rest is packed best-fit decreasing. The first prices are those of a best-fit packing. Of all turns at which one could
+    have left the rest to best-fit, the first too, that with the fewest sequences counts.
     """
     left = {k: v for k, v in counts.items() if v}
     used: Counter = Counter()
     if left.get(capacity):
         used[(capacity,)] = left.pop(capacity)
+    best: Counter | None = None
     while left:
         before = sum(left.values())
-        first = prices(best_fit(left, capacity))
+        packed = best_fit(left, capacity)
+        best = _fewer(best, used, packed)
+        first = prices(packed)
         for pattern, amount in fractional(left, first, capacity, rounds, sharpness):
             times = min(int(amount), *(left.get(k, 0) // t for k, t in pattern.items()))
             if times:
@@ -234,9 +238,14 @@ def solve(
         left = {k: v for k, v in left.items() if v}
         if sum(left.values()) > 0.9 * before:  # small counts round to nothing
             break
-    for lengths, times in best_fit(left, capacity).items():
-        used[lengths] += times
-    return sorted(used.items(), reverse=True)
+    return sorted(_fewer(best, used, best_fit(left, capacity)).items(), reverse=True)
+
+
+def _fewer(best: Counter | None, used: Counter, rest: Counter) -> Counter:
+    """``used`` and ``rest`` together, if these are fewer sequences than ``best``."""
+    if best is not None and best.total() <= used.total() + rest.total():
+        return best
+    return used + rest
 
 
 def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:

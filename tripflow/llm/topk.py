@@ -45,12 +45,12 @@ def weights(vectors: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    out = np.floor(256.0 * out)
-    if out.size and np.abs(out).max() >= 2.0**31:
+    if out.size and np.abs(out).max() >= 2.0**23:
         exact = np.empty(out.shape, dtype=object)
-        exact[:] = [[int(x) if math.isfinite(x) else 0 for x in row] for row in out]
+        # From 2^53 on numbers are whole, and 256 times the largest is no double.
+        exact[:] = [[int(x) * 256 if abs(x) >= 2.0**53 else math.floor(256.0 * x) for x in row] for row in out]
         return exact
-    return out.astype(np.int64)
+    return np.floor(256.0 * out).astype(np.int64)
 
 
 def postings(matrix: np.ndarray) -> list[tuple[np.ndarray | slice, np.ndarray]]:
