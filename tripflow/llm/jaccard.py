@@ -7,9 +7,10 @@ reach the threshold. Within a tile, the parity bitmaps of two sets differ in at
 as the sets differ in shingles, which bounds the overlap from above; what passes is checked on
 the sorted arrays.
 
-The smallest hashes kept are the prefix of ``n - ceil(t n) + 1`` that misses nothing. A caller may bound it: ``keys`` = 20
-hashes in random order miss a link of larger sets at the very threshold with a chance of 0.25 ** 20, about 1e-12, and a
-closer one less often. No query does.
+The smallest hashes kept are ``min(keys, n - ceil(t n) + 1)``. The second number is the prefix that
+misses nothing. For larger sets, ``keys`` = 20 hashes in random order miss a link at the very threshold
+with a chance of 0.25 ** 20, about 1e-12, and a closer one less often; ``keys=None`` always takes the whole prefix. The
+queries use 20, as whole prefixes need more disk than the check tool grants (README).
 
 Hot tiles. In the first rounds every node of a tile is compared with one pivot only, another one in each
 tile, which joins nearly all of a large group of copies at linear cost. Later, only nodes that are still in
@@ -95,7 +96,7 @@ def prefix_length(n: int, keys: int | None, threshold: int = LINK_AT) -> int:
     return whole if keys is None else min(keys, whole)
 
 
-def sketches(documents: DataFrame, width: int = 5, keys: int | None = None, threshold: int = LINK_AT) -> DataFrame:
+def sketches(documents: DataFrame, width: int = 5, keys: int | None = 20, threshold: int = LINK_AT) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``node`` (digest of the set), ``level``, ``keys`` and ``bits`` of each row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -438,7 +439,7 @@ def candidate_pairs(
 
 
 def join(
-    documents: DataFrame, width: int = 5, keys: int | None = None, threshold: int = LINK_AT, cell: int = 1024,
+    documents: DataFrame, width: int = 5, keys: int | None = 20, threshold: int = LINK_AT, cell: int = 1024,
     pivot_rounds: int = 2, count_links: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``stays`` of each row, ``links`` if counted.
