@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from tripflow.llm import common
 
 TAG_NAME = re.compile(r"/?[a-zA-Z][^\s/<>]*")
+#: Most tags: nothing in angle brackets within, all quotes closed. Looks no further than the next bracket.
+PLAIN_TAG = re.compile(r"""<(/?[a-zA-Z][^\s/<>"']*+)((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)>""")
 SPECIAL = re.compile(r"""[>"']""")
 MARKS = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 NAME_PART = re.compile(r"[a-z]+|[^a-z0-9_\s-]")
@@ -132,6 +134,10 @@ class Reader:
                 stop = page.find("<", at) if at <= self.last["<"] else -1
                 self.at = len(page) if stop < 0 else stop
                 return "", "", page[at : self.at]
+            plain = PLAIN_TAG.match(page, at)
+            if plain:
+                self.at = plain.end()
+                return plain[1].lower(), plain[2], ""
             if page.startswith("<!--", at):
                 stop = page.find("-->", at)
                 self.at = len(page) if stop < 0 else stop + 3
@@ -184,7 +190,7 @@ def parse(page: str) -> Node:
             if outer:
                 cut(min(outer))
         marks = role = ""
-        if attributes:
+        if "=" in attributes:
             for key, value in MARKS.findall(attributes):
                 value = value.strip("\"'").lower()
                 if key.lower() == "role":
