@@ -277,7 +277,7 @@ def brute_templates(pages, least=5):
     rests = {}
     for url, page in pages:
         for subtree, rest in html_text.template_candidates(page):
-            rests.setdefault((url, subtree), set()).add(rest)
+            rests.setdefault((url, subtree), set()).add(rest % html_text.CELLS)
     return {k for k, v in rests.items() if len(v) >= least}
 
 
