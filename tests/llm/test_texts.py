@@ -7,6 +7,7 @@ import time
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -205,6 +206,76 @@ def test_fingerprints_of_odd_tables(spark):
     assert fingerprint.fingerprints(frame.limit(0)).count() == 0
 
 
+def test_ranges_follow_one_another(spark):
+    draw = random.Random(9)
+    ids = [draw.choice([draw.randrange(-50, 50), 2**53 + draw.randrange(9), -(2**63), 2**63 - 1, None, 7, 7]) for _ in range(300)]
+    data = [(i, f"t{draw.randrange(40)}" if draw.random() < 0.9 else None) for i in ids]
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    for range_rows in (1, 4, 1000):
+        ordered = fingerprint.in_order(frame, range_rows)
+        rows = [(r["_range"], r["_extra"], r["doc_id"], r["text"]) for r in ordered.collect()]
+        down = lambda r: (r[0] is not None, r[0] or 0, r[1])
+        expected = sorted([(i, t or "") for i, t in data], key=down, reverse=True)
+        by_range = {}
+        for place, extra, *row in rows:
+            by_range.setdefault(place, ([], []))[extra].append(tuple(row))
+        assert len(by_range) == len({k for k, *_ in rows}) and all(len(extras) == 1 for _, extras in by_range.values())
+        found, heads = [], []
+        for place in sorted(by_range, reverse=True):
+            own, extras = by_range[place]
+            found += sorted(own, key=down, reverse=True)
+            heads.append((len(found), extras[0]))
+        assert found == expected
+        assert all(head == expected[end % len(expected)] for end, head in heads)
+        if range_rows == 1000:
+            assert len(by_range) <= 10
+
+
+def scrambled(h):
+    for shift in (32, 32):
+        h = (h ^ (h >> shift)) * 0xD6E8FEB86659FD93 % 2**64
+    return h ^ (h >> 32)
+
+
+def brute_fingerprint(text, band):
+    """The definition, with whole numbers and one lexicon after the other."""
+    all_terms = fingerprint.terms(text)
+    kept = [t for t in all_terms if t in band]
+    hashes = sorted({xxhash.xxh3_64_intdigest(t) for t in (kept if len(kept) >= 4 else all_terms)})
+    if not hashes:
+        return "0"
+    full = xxhash.xxh3_64_hexdigest(b"".join(h.to_bytes(8, "little") for h in hashes))
+    first = max(1, round(np.log2(len(hashes))))
+    parts = []
+    for level in range(first, first + 3):
+        for k in range(1, 17):
+            seed = scrambled(k * 0x9E3779B97F4A7C15 % 2**64)
+            drawn = [h for h in hashes if scrambled(h ^ seed) < 2 ** (64 - level)]
+            parts.append(f"{scrambled((sum(drawn) + seed) % 2**64) >> 32:08x}" if drawn else "-")
+    return f"{len(hashes)}:{full}:{first}:{' '.join(parts)}"
+
+
+def test_fingerprints_equal_their_definition(spark):
+    draw = random.Random(14)
+    common_words, usual = ["the", "of", "and"], [f"w{k}" for k in range(60)]
+    texts = [" ".join(draw.sample(common_words, 2) + draw.sample(usual, draw.randrange(0, 12))) for _ in range(60)] + ["", None, "rare one"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = [fingerprint.terms(t or "") for t in texts]
+    counts = {t: sum(t in h for h in held) for h in held for t in h}
+    band = {t for t, n in counts.items() if 0.03 * len(texts) <= n <= 0.4 * len(texts)}
+    found = {r["doc_id"]: r for r in fingerprint.fingerprints(frame, rarest=0.03, commonest=0.4).collect()}
+    sizes = set()
+    for i, text in enumerate(texts):
+        following = texts[i - 1] or ""
+        own, changed = brute_fingerprint(text or "", band), brute_fingerprint(fingerprint.edited(text or "", following), band)
+        assert (found[i]["fingerprint"], found[i]["edited_fingerprint"]) == (own, changed)
+        assert found[i]["near_edited"] == fingerprint.likeness(own, changed)
+        assert found[i]["near_next"] == fingerprint.likeness(own, brute_fingerprint(following, band))
+        sizes.add(len(held[i] & band))
+    # On both sides of the least number of terms.
+    assert {3, 4} <= sizes
+
+
 # --- html ----------------------------------------------------------------------------------
 
 

@@ -133,47 +133,44 @@ RESULT = (
 )
 
 
+def range_starts(ids: DataFrame, range_rows: int) -> DataFrame:
+    """Every ``range_rows``-th id of the sorted ids, the least one included; a stored table of one column."""
+    parts = common.shuffle_partitions(ids.sparkSession)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the partition
+    ordered = ids.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").withColumn("_place", place)
+    return common.stored(ordered.where(F.col("_place") % range_rows == 0).select("doc_id").distinct(), "fingerprint-starts")
+
+
 def in_order(documents: DataFrame, range_rows: int = 10_000) -> DataFrame:
-    """Rows dealt to ranges of falling ids (``_range``), each range followed by the next one's first row.
+    """Rows dealt to ranges of ids (``_range``), each followed by the first row of the range below it.
 
-    The ranges are cut at approximate quantiles, their number follows the row count; that first row
-    is marked ``_extra``. The last range is followed by the very first row.
+    That row is marked ``_extra``; the lowest range is followed by the very first row of the table. A range starts at
+    every ``range_rows``-th id. Tasks get the starts as a broadcast array, 8 bytes a range; the first rows are found by a
+    join with a table of one id a range, so the plan does not grow with the rows.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = rows.select("doc_id")
-    count = max(common.shuffle_partitions(spark), math.ceil(ids.count() / range_rows))
-    shares = [i / count for i in range(1, count)]
-    cuts = ids.agg(F.percentile_approx("doc_id", shares, 100 * count).alias("c")).first()["c"] if shares else []
-    cuts = np.unique(np.array(cuts or [], dtype=np.int64))
+    # A null among large ids would turn them into doubles, so it is dealt as the least id.
+    known = F.coalesce("doc_id", F.lit(-(2**63)))
+    found = range_starts(rows.select(known.alias("doc_id")), range_rows).toPandas()["doc_id"]
+    count = len(found)
+    starts = spark.sparkContext.broadcast(np.sort(found.to_numpy(dtype=np.int64)))
 
     @F.pandas_udf("int")
     def range_of(doc_id: pd.Series) -> pd.Series:
-        return pd.Series(len(cuts) - np.searchsorted(cuts, doc_id.to_numpy(dtype=np.int64), "left")).astype("int32")
+        return pd.Series(np.searchsorted(starts.value, doc_id.to_numpy(dtype=np.int64), "right") - 1).astype("int32")
 
-    # A null among large ids would turn them into doubles, so it is dealt as the least id.
-    known = F.coalesce("doc_id", F.lit(-(2**63)))
     dealt = rows.withColumn("_range", range_of(known))
+    # Every range holds its start, so the range above is the next number.
     heads = (
-        ids.withColumn("_range", range_of(known)).groupBy("_range").agg(F.max("doc_id").alias("head")).orderBy("_range").collect()
-    )
-    before = {h["_range"]: heads[i - 1]["_range"] for i, h in enumerate(heads)}  # one per range
-    names = [h["head"] for h in heads if h["head"] is not None]
-    wanted = F.col("doc_id").isin(names)
-    if any(h["head"] is None for h in heads):
-        wanted = wanted | F.col("doc_id").isNull()
-    first = (
-        rows.where(wanted)
-        .groupBy("doc_id")
-        .agg(F.max("text").alias("text"))
-        .withColumn("_range", range_of(known))
+        rows.select("doc_id", range_of(known).alias("_below"))
+        .groupBy("_below")
+        .agg(F.max("doc_id").alias("_head"))
+        .select("_head", ((F.col("_below") + 1) % max(count, 1)).cast("int").alias("_range"))
     )
-    if not before:
-        return dealt.withColumn("_extra", F.lit(False))
-    target = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    chosen = first.join(spark.createDataFrame([(h["_range"], h["head"]) for h in heads], "r int, head long"),
-                        (F.col("_range") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("head")))
-    extra = chosen.select("doc_id", "text", target[F.col("_range")].alias("_range"), F.lit(True).alias("_extra"))
+    heads = common.stored(heads, "fingerprint-heads")
+    first = rows.join(heads, rows["doc_id"].eqNullSafe(heads["_head"])).groupBy("doc_id", "_range").agg(F.max("text").alias("text"))
+    extra = first.select("doc_id", "text", "_range", F.lit(True).alias("_extra"))
     return dealt.withColumn("_extra", F.lit(False)).unionByName(extra)
 
 
