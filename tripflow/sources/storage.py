@@ -7,10 +7,10 @@ import fnmatch
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -166,24 +166,19 @@ def inventory_total(inventory: DataFrame) -> DataFrame:
     )
 
 
-def _footer_columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        columns = []
-        for path in batch["path"]:
-            uri = path.replace("s3a://", "s3://", 1)
-            if uri.startswith("file:/") and not uri.startswith("file:///"):
-                uri = "file://" + uri[len("file:") :]
-            filesystem, inner = fs.FileSystem.from_uri(uri)
-            columns.append(pq.read_schema(inner, filesystem=filesystem).names)
-        yield pd.DataFrame({"path": batch["path"], "columns": columns})
+FOOTERS_AT_ONCE = 16
 
 
 def file_columns(files: DataFrame) -> DataFrame:
-    """Column names of each listed file, from its footer, read in the tasks."""
-    return files.select("path").mapInPandas(_footer_columns, "path string, columns array<string>")
+    """Column names of each listed file, as Spark's reader finds them in its footer: a small job a file, some at once.
+
+    The session's file systems and credentials apply. The driver holds a path and its names per file, no content.
+    """
+    spark = files.sparkSession
+    paths = [r["path"] for r in files.select("path").collect()]
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        names = list(pool.map(lambda path: spark.read.parquet(path).columns, paths))
+    return spark.createDataFrame(list(zip(paths, names, strict=True)), "path string, columns array<string>")
 
 
 # --- write and refresh ---------------------------------------------------------------------
