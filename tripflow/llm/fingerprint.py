@@ -141,17 +141,24 @@ def range_starts(ids: DataFrame, range_rows: int) -> DataFrame:
     return common.stored(ordered.where(F.col("_place") % range_rows == 0).select("doc_id").distinct(), "fingerprint-starts")
 
 
-def in_order(documents: DataFrame, range_rows: int = 10_000) -> DataFrame:
+#: Ids between two starts at most, and ranges per shuffle partition at least: even tasks also on few rows.
+RANGE_ROWS, RANGES_A_PARTITION = 10_000, 8
+
+
+def in_order(documents: DataFrame, range_rows: int | None = None) -> DataFrame:
     """Rows dealt to ranges of ids (``_range``), each followed by the first row of the range below it.
 
     That row is marked ``_extra``; the lowest range is followed by the very first row of the table. A range starts at
-    every ``range_rows``-th id. Tasks get the starts as a broadcast array, 8 bytes a range; the first rows are found by a
+    every ``range_rows``-th id; without that number, as often as the two constants above say. Tasks get the starts as a broadcast array, 8 bytes a range; the first rows are found by a
     join with a table of one id a range, so the plan does not grow with the rows.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # A null among large ids would turn them into doubles, so it is dealt as the least id.
     known = F.coalesce("doc_id", F.lit(-(2**63)))
+    if range_rows is None:
+        parts = RANGES_A_PARTITION * common.shuffle_partitions(spark)
+        range_rows = min(RANGE_ROWS, max(1, documents.count() // parts))
     found = range_starts(rows.select(known.alias("doc_id")), range_rows).toPandas()["doc_id"]
     count = len(found)
     starts = spark.sparkContext.broadcast(np.sort(found.to_numpy(dtype=np.int64)))
