@@ -92,6 +92,18 @@ def test_landing_report(spark, tmp_path):
     assert sorted(r.i for r in storage.scan_layer(spark, path).collect()) == [*range(1, 11), 50, 70]
 
 
+def _lowest_aggregate(df):
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return plan[plan.rindex("Aggregate"):]
+
+
+def test_landing_takes_paths_apart_once_a_file(spark, tmp_path, monkeypatch):
+    seen, kept = {}, storage.written
+    monkeypatch.setattr(storage, "written", lambda df, name: (seen.update({name: df}), kept(df, name))[1])
+    storage.land_months(_landing(spark, ("01", (2025, 1, 5), 1)), str(tmp_path / "bronze"))
+    assert "regexp_" not in _lowest_aggregate(seen["landing"])
+
+
 def test_validate_columns(spark, tmp_path):
     good = spark.createDataFrame([], schema.BRONZE)
     good.coalesce(1).write.parquet(str(tmp_path / "good"))
@@ -111,6 +123,10 @@ def test_validate_counts(spark, sf):
     assert row.rows == lines.count() and not row.within_budget
 
 
+def test_counting_takes_paths_apart_once_a_file(spark, sf):
+    assert "regexp_" not in _lowest_aggregate(validate.validate_counts(fixtures.table(spark, sf, "lineitem")))
+
+
 def test_files_of_one_name_are_counted_apart(spark, tmp_path):
     for year, rows in ((2023, 10), (2024, 7)):
         spark.range(rows).coalesce(1).write.parquet(str(tmp_path / f"w{year}"))
@@ -121,6 +137,22 @@ def test_files_of_one_name_are_counted_apart(spark, tmp_path):
     assert sorted((r.file_name, r.rows) for r in found) == [("trip_01.parquet", 7), ("trip_01.parquet", 10)]
 
 
+def test_part_files_are_one_dataset(spark, tmp_path):
+    spark.range(10).selectExpr("id AS a", "id % 2 AS p").repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    spark.range(8).selectExpr("id AS a", "id % 2 AS p").write.partitionBy("p").parquet(str(tmp_path / "parted.parquet"))
+    (tmp_path / "mixed.parquet").mkdir()
+    spark.range(5).selectExpr("id AS a").toPandas().to_parquet(tmp_path / "mixed.parquet/part-0.parquet")
+    spark.range(5).selectExpr("id AS b").toPandas().to_parquet(tmp_path / "mixed.parquet/part-1.parquet")
+    report = validate.validate_columns(storage.list_files(spark, str(tmp_path)), ["a", "b"])
+    rows = sorted((r.path.rsplit("/", 1)[1], list(r.missing), r.status) for r in report.collect())
+    # One part lacks the one column, the other the other.
+    assert rows == [(f"{n}.parquet", m, "failed") for n, m in (("many", ["b"]), ("mixed", ["a", "b"]), ("parted", ["b"]))]
+    for name, count in (("many", 10), ("parted", 8)):
+        found = validate.validate_counts(spark.read.parquet(str(tmp_path / f"{name}.parquet")), max_rows=9).collect()
+        assert [(r.file_name, r.rows, r.within_budget) for r in found] == [(f"{name}.parquet", count, count <= 9)]
+    assert names(storage.file_inventory(spark, str(tmp_path), "m*.parquet")) == ["many.parquet", "mixed.parquet"]
+
+
 def test_content_hash_sees_where_nulls_are(spark):
     from tripflow.operators import profile
 

@@ -77,11 +77,20 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def _dataset(path: Column, pattern: str) -> Column:
-    """The dataset a file belongs to: itself if its name fits, its folder if that fits, else null."""
+    """The dataset a file belongs to: its folder if that name fits, itself if its own does, else null."""
     fits = fnmatch.translate(pattern)
     steps = F.split(path, "/")
     own_name, folder = F.element_at(steps, -1).rlike(fits), F.element_at(steps, -2).rlike(fits)
-    return F.when(own_name, path).when(folder, F.regexp_replace(path, "/[^/]*$", ""))
+    return F.when(folder, F.regexp_replace(path, "/[^/]*$", "")).when(own_name, path)
+
+
+def dataset_of(path: Column) -> Column:
+    """The dataset a parquet file belongs to: the folder named ``*.parquet`` it is a part of, or itself.
+
+    Partition folders between the two are passed over.
+    """
+    folder = F.regexp_replace(path, "(/[^/=]+=[^/]*)*/[^/]+$", "")
+    return F.when(folder.rlike(r"\.parquet$"), folder).otherwise(path)
 
 
 def _own_types(found: T.StructType) -> T.StructType:
@@ -271,7 +280,10 @@ def land_months(
         report = spark.createDataFrame([], T.StructType([*[rows.schema[k] for k in keys], T.StructField("rows", T.LongType())]))
         if own:
             landed = spark.read.schema(rows.schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in own])
-            by_month = landed.groupBy(*keys).agg(F.count("*").alias("rows"), F.max(_folder_of_file()).alias("_folder"))
+            # Paths are taken apart once a file, not once a row.
+            by_file = landed.groupBy(*keys, F.col("_metadata.file_path").alias("_file")).agg(F.count("*").alias("rows"))
+            folder = F.max(_folder_of_file("_file")).alias("_folder")
+            by_month = by_file.groupBy(*keys).agg(F.sum("rows").alias("rows"), folder)
             report = written(by_month, "landing")
         found = report.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
         status = "success" if found == stage.observed_rows("written") else "failed"
@@ -296,8 +308,8 @@ def land_months(
     return report.select(*keys, "rows", F.lit(status).alias("status")).unionByName(lost)
 
 
-def _folder_of_file() -> Column:
-    return F.regexp_extract(F.url_decode("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+def _folder_of_file(path: str) -> Column:
+    return F.regexp_extract(F.url_decode(path), "([^/]+)/[^/]+$", 1)
 
 
 def read_if_there(spark: SparkSession, path: str, layer_schema: T.StructType | None = None) -> DataFrame | None:
