@@ -417,3 +417,21 @@ def test_shared_folder():
         storage.shared_folder(NoFolderSession("yarn"))
     alone = NoFolderSession("local[4]")
     assert storage.shared_folder(alone) == storage.shared_folder(alone) == alone.folder
+
+
+def test_scoring_compiles(spark, sf):
+    """No generated method of scoring is longer than the JVM compiles, and rules are no part of an interpreted filter."""
+    from tripflow.plans import queries
+
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scored = queries.score_batch(spark, sf)
+        generated = scored._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [generated.apply(i)._3().maxMethodCodeSize() for i in range(generated.length())]
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", limit)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) <= 8000
+    assert "lambda" not in scored._jdf.queryExecution().executedPlan().toString()

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import schema
 from tripflow.functions import trip
 from tripflow.operators import encode, gold
-from tripflow.operators.models import PREDICTION, assemble
+from tripflow.operators.models import PREDICTION, VECTOR, assemble
 from tripflow.operators.validate import with_broken_rules
 from tripflow.sources.storage import written
 
@@ -33,6 +34,15 @@ COUNT_COLUMNS = ["pickup_zone_trip_count", "dropoff_zone_trip_count", "route_tri
 # --- contract ------------------------------------------------------------------------------
 
 
+def _step(df: DataFrame, columns: list[str | Column]) -> DataFrame:
+    """The columns as a step of their own, computed once and before all that follows.
+
+    As a plain projection they would be copied into the expressions and filters that use them, and the
+    generated method of both together can be too long for the JVM to compile.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def parse_requests(df: DataFrame, value: str = "value") -> DataFrame:
     """JSON text → one text column per field, ``raw_<field>``; an absent field is null.
 
@@ -74,7 +84,7 @@ def validate_requests(df: DataFrame, value: str = "value") -> DataFrame:
     Missing, unreadable or out-of-bounds. Rows with any are for quarantine, the rest is accepted.
     """
     parsed = parse_requests(df, value)
-    typed = parsed.withColumns({name: _typed(name, kind) for name, kind, _ in schema.REQUEST_FIELDS})
+    typed = _step(parsed, [*parsed.columns, *[_typed(name, kind).alias(name) for name, kind, _ in schema.REQUEST_FIELDS]])
     marked = with_broken_rules(typed, _request_rules())
     defaults = {
         name: F.coalesce(F.col(name), F.lit(default).cast(kind))
@@ -178,9 +188,8 @@ def model_features(
 
 def predict(model: Model, features: DataFrame, keep: list[str]) -> DataFrame:
     """Predicted minutes: never below 0, rounded to 2 places. One row per request: null if a feature is missing."""
-    whole = F.lit(True)
-    for name in schema.FEATURES:
-        whole = whole & ~F.isnan(F.coalesce(F.col(name).cast("double"), F.lit(float("nan"))))
-    scored = model.transform(assemble(features.withColumn("_whole", whole), invalid="keep"))
-    minutes = F.when(F.col("_whole"), F.round(F.greatest(F.col(PREDICTION), F.lit(0.0)), 2))
+    scored = model.transform(assemble(_step(features, [*keep, *schema.FEATURES]), invalid="keep"))
+    # Asked of the vector, as tests of all columns are long code too.
+    whole = ~F.array_contains(vector_to_array(VECTOR), F.lit(float("nan")))
+    minutes = F.when(whole, F.round(F.greatest(F.col(PREDICTION), F.lit(0.0)), 2))
     return scored.select(*keep, minutes.alias("predicted_duration_minutes"))
