@@ -175,3 +175,27 @@ def test_drift_gate(spark, share, score, kind, violations):
     row = drift.drift_gate(summary).first()
     assert len(row.violations) == violations
     assert row.passed == (violations == 0) and row.retrain == (violations > 0)
+
+
+def test_exact_quantiles_count_only_values_near_them(spark, monkeypatch):
+    kept, write = {}, ordered.written
+
+    def noted(df, name):
+        kept[name] = write(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(ordered, "written", noted)
+    frame = spark.range(200_000).select(((F.col("id") * 7919) % 200_003).alias("v"))
+    values = sorted((i * 7919) % 200_003 for i in range(200_000))
+    row = ordered.exact_quantiles(frame, F.col("v"), {"p0": 0.0001, "p70": 0.70, "p85": 0.85}).first()
+    assert list(row) == [values[math.ceil(p * 200_000) - 1] for p in (0.0001, 0.70, 0.85)]
+    assert kept["frequencies"].count() < 10_000
+
+
+def test_exact_quantiles_do_not_trust_the_sketch(spark, monkeypatch):
+    wrong = {"p70": (700.0, 100.0, 200.0), "p85": (850.0, 840.0, 860.0)}
+    monkeypatch.setattr(ordered, "_brackets", lambda values, probabilities: (1000, wrong))
+    row = ordered.exact_quantiles(spark.range(1000), F.col("id"), {"p70": 0.70, "p85": 0.85}).first()
+    assert list(row) == [699, 849]
+    monkeypatch.undo()
+    assert list(ordered.exact_quantiles(spark.range(0), F.col("id"), {"p70": 0.70}).first()) == [None]

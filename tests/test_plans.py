@@ -73,6 +73,22 @@ def test_gold_joins_once_and_broadcasts_a_small_lookup(spark, bronze):
     assert "SortMergeJoin" not in plan
 
 
+def test_large_lookup_shuffles_no_derived_columns(spark, bronze):
+    """Past the broadcast limit the trips are shuffled as they are in silver, and sorted by a key that tells pairs apart."""
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for key in limits:
+            spark.conf.set(key, "-1")
+        joined = final_plan(gold.engineer(silver.clean(bronze))).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    above, below = joined.split("SortMergeJoin", 1)
+    assert "AS pickup_hour" in above and "pickup_hour" not in below
+    assert re.search(r"Sort \[coalesce\(PULocationID", below)
+
+
 def test_large_lookup_shuffles_and_splits_a_hot_pair(spark):
     """Past the broadcast limit: a sort-merge join in which AQE cuts the hot pair's partition."""
     settings = {
