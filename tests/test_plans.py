@@ -121,6 +121,12 @@ def test_large_lookup_shuffles_and_splits_a_hot_pair(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+@pytest.mark.parametrize("name", ["scaling_stats", "scale_features"])
+def test_scaling_joins_lines_and_orders_once(spark, sf, name):
+    """What follows reads the written trips."""
+    assert "o_orderdate" not in formatted_plan(QUERIES[name](spark, sf))
+
+
 def test_running_counts_and_split_have_no_one_task_sort(spark, bronze):
     trips = silver.clean(bronze)
     frequencies = storage.written(

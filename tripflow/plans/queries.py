@@ -51,8 +51,8 @@ def _trips(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.trips(spark, sf, with_key=True)
 
 
-def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.clean(fixtures.trips(spark, sf))
+def _silver(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
+    return silver.clean(fixtures.trips(spark, sf, with_key=bool(keep)), keep=keep)
 
 
 def _silver_layer(spark: SparkSession, sf: str) -> DataFrame:
@@ -358,7 +358,10 @@ _SCALED_FROM = [c for c in schema.SILVER_COLUMNS if c in schema.SCALED_COLUMNS o
 
 
 def _with_scaled(trips: DataFrame) -> DataFrame:
-    """Trips with all columns that are scaled: distance features, and zone and route counts of the whole month."""
+    """Trips with all columns that are scaled: distance features, and zone and route counts of the whole month.
+
+    The trips are read twice: pass a written table.
+    """
     counts = storage.written(gold.count_lookup(trips), "trip-counts")
     months = dict(zip(gold.MONTH, (F.year(schema.PICKUP), F.month(schema.PICKUP))))
     return gold.with_counts(gold.distance_features(trips.withColumns(months)), counts)
@@ -366,7 +369,7 @@ def _with_scaled(trips: DataFrame) -> DataFrame:
 
 @query
 def scaling_stats(spark: SparkSession, sf: str) -> DataFrame:
-    trips = _silver(spark, sf).select(schema.PICKUP, *gold.ZONES, *_SCALED_FROM)
+    trips = storage.written(_silver(spark, sf).select(schema.PICKUP, *gold.ZONES, *_SCALED_FROM), "silver")
     return rounded(encode.scaling_stats(_with_scaled(trips)))
 
 
@@ -418,7 +421,10 @@ def encode_target(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scale_features(spark: SparkSession, sf: str) -> DataFrame:
-    trips = _with_scaled(_split_silver(spark, sf, *gold.ZONES, *_SCALED_FROM))
+    silver_rows = _silver(spark, sf, *KEY).select(*KEY, schema.PICKUP, *gold.ZONES, *_SCALED_FROM)
+    labelled = split.time_split(narrow := storage.written(silver_rows, "silver"), thresholds=split.split_thresholds(narrow))
+    # Written: the statistics and the rows would each repeat the join of the counts.
+    trips = storage.written(_with_scaled(labelled).select(*KEY, "split", *schema.SCALED_COLUMNS), "scaled-from")
     stats = encode.fit_scaling(trips.where("split = 'train'"))
     return rounded(encode.scale_features(trips, stats).select(*KEY, *stats))
 
