@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tripflow.plans import queries
 from tripflow import fixtures
 from tripflow.streaming import monitor, run
 
@@ -155,3 +156,9 @@ def test_scoring_goes_on_after_a_loss(spark, paths):
     assert run.score_stream(stream(spark, folder), lambda d: scored(d, True), out, checkpoint).count() == 68
     with pytest.raises(ValueError, match="checkpoint"):
         run.score_stream(stream(spark, folder), lambda d: d, out)
+
+
+def test_a_part_of_the_log_is_written_and_read_by_several_tasks(spark, sf, tmp_path):
+    folder = str(tmp_path / "log")
+    queries._arrive(spark, sf, folder, 0)
+    assert len(list((tmp_path / "log").glob("*.parquet"))) > 1

@@ -808,27 +808,30 @@ def monitor_stream(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(run.monitor_stream(fixtures.prediction_log_from(events)), ["prediction_sum"])
 
 
-#: Files the log arrives in below: parts of its time span in order, then stragglers from all of it.
+#: Parts the log arrives in below: of its time span in order, then stragglers from all of it.
 ARRIVALS, STRAGGLER = 4, 50
 
 
 def _arrive(spark: SparkSession, sf: str, folder: str, arrival: int) -> None:
-    """Let one file of the log arrive in ``folder``."""
-    events = fixtures.table(spark, sf, "events")
+    """Let one part of the log arrive in ``folder``, as many files as tasks read it."""
+    events = storage.spread(fixtures.table(spark, sf, "events"))
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     span = events.agg(F.min(seconds).alias("low"), F.max(seconds).alias("high")).first()
     part = F.floor((seconds - span["low"]) * (ARRIVALS - 1) / (span["high"] - span["low"] + 1))
     arrived = F.when(F.col("event_id") % STRAGGLER == 0, ARRIVALS - 1).otherwise(part)
-    events.where(arrived == arrival).coalesce(1).write.mode("append").parquet(folder)
+    events.where(arrived == arrival).write.mode("append").parquet(folder)
 
 
 def _restarted(spark: SparkSession, sf: str, start: Callable[[DataFrame], DataFrame | None]) -> DataFrame | None:
-    """Run ``start`` on the log's stream each time another file has arrived; every run goes on where the last one ended."""
+    """Run ``start`` on the log's stream each time another part has arrived; every run goes on where the last one ended.
+
+    A run takes all files of the part that arrived in one micro-batch.
+    """
     folder, found = storage.shared_path(spark, "log"), None
     kind = fixtures.table(spark, sf, "events").schema
     for arrival in range(ARRIVALS):
         _arrive(spark, sf, folder, arrival)
-        found = start(fixtures.prediction_log_from(run.read_files(spark, folder, kind, max_files=1)))
+        found = start(fixtures.prediction_log_from(run.read_files(spark, folder, kind)))
     return found
 
 
