@@ -127,6 +127,23 @@ def test_new_category_and_empty_side(spark):
     assert (row.method, row.score, row.emptied, row.drifted) == ("missing", None, True, True)
 
 
+def test_values_are_counted_without_an_array_per_row(spark, monkeypatch):
+    monkeypatch.setattr(drift, "written", lambda df, name: df)
+    kind = "is_reference boolean, a double, `b c` long, d string, e boolean, f tinyint"
+    rows = [(True, 1.5, 2**53 + 1, "x", True, 7), (False, 1.5, 2**53, None, None, 7), (None, float("inf"), None, "2", False, None)]
+    found = drift.column_frequencies(spark.createDataFrame(rows, kind), ["a", "f"], ["b c", "d", "e"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "Generate" not in plan and "inline" not in plan
+    big = str(2**53)
+    expected = [
+        ("a", 1.5, None, 1, 1), ("a", None, None, 0, 0), ("f", 7.0, None, 1, 1), ("f", None, None, 0, 0),
+        ("b c", None, big, 0, 1), ("b c", None, str(2**53 + 1), 1, 0), ("b c", None, None, 0, 0),
+        ("d", None, "x", 1, 0), ("d", None, "2", 0, 0), ("d", None, None, 0, 1),
+        ("e", None, "true", 1, 0), ("e", None, "false", 0, 0), ("e", None, None, 0, 1),
+    ]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+
+
 def test_emptied_columns_fail_the_gate(spark):
     kind = "is_reference boolean, a double, b string, c double, d double"
     rows = [(True, float(i), "x", None, 1.0 * (i % 3)) for i in range(60)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.functions.significance import chi_square_sf, kolmogorov_sf, two_sided_normal_p
 from tripflow.operators.ordered import running_counts
@@ -38,25 +39,40 @@ def column_frequencies(
     with counts of zero. Written to the shared folder: all statistics below read it, the data are
     scanned once.
     """
-    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    values = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number"), no_text.alias("category"))
-        for c in numeric
-    ] + [
-        F.struct(F.lit(c).alias("column"), no_number.alias("number"), F.col(c).cast("string").alias("category"))
-        for c in categorical
-    ]
-    finite = ~F.isnan("number") & (F.abs("number") < float("inf"))
-    requested = labelled.sparkSession.createDataFrame(
-        [(None, c, None, None) for c in [*numeric, *categorical]],
-        "_ref boolean, `column` string, number double, category string",
+    names = [*numeric, *categorical]
+    number = [F.col(c).cast("double") for c in numeric]
+    finite = [F.when(~F.isnan(n) & (F.abs(n) < float("inf")), n) for n in number]
+    integers = {f.name for f in labelled.select(*categorical).schema if isinstance(f.dataType, T.IntegralType)}
+
+    def text_or_code(name: str) -> Column:
+        return F.col(name).cast("long" if name in integers else "string")
+
+    wide = labelled.select(
+        F.col(is_reference).cast("boolean").alias("_ref"),
+        *[n.alias(f"_value{i}") for i, n in enumerate(finite)],
+        *[text_or_code(c).alias(f"_value{i}") for i, c in enumerate(categorical, len(numeric))],
+    )
+    # A row of neither side, without values: each requested column is there.
+    wide = wide.union(labelled.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType) for f in wide.schema]))
+    wide = wide.select(
+        "*", F.lit(None).cast("double").alias("_no_number"), F.lit(None).cast("string").alias("_no_text"),
+        F.lit(None).cast("long").alias("_no_code"), *[F.lit(i).alias(f"_id{i}") for i in range(len(names))],
+    )
+    # UNPIVOT makes the rows without an array of structs for each trip; a number stands for the column's name in the keys, and
+    # integer categories become text once a value, not once a row.
+    slots = [("{}", "_no_text", "_no_code")] * len(numeric)
+    slots += [("_no_number", "_no_text", "{}") if c in integers else ("_no_number", "{}", "_no_code") for c in categorical]
+    turned = ", ".join(f"(_id{i}, {', '.join(slot).format(f'_value{i}')})" for i, slot in enumerate(slots))
+    rows = labelled.sparkSession.sql(
+        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS ((_id, number, _text, _code) FOR _name IN ({turned}))", wide=wide
     )
     frequencies = (
-        labelled.select(F.col(is_reference).alias("_ref"), F.inline(F.array(*values)))
-        .union(requested)
-        .withColumn("number", F.when(finite, F.col("number")))
-        .groupBy("column", "number", "category")
+        rows.groupBy("_id", "number", "_text", "_code")
         .agg(F.count_if(F.col("_ref")).alias("n_ref"), F.count_if(~F.col("_ref")).alias("n_cur"))
+        .select(
+            F.get(F.array(*map(F.lit, names)), F.col("_id")).alias("column"), "number",
+            F.coalesce("_text", F.col("_code").cast("string")).alias("category"), "n_ref", "n_cur",
+        )
     )
     return written(frequencies, "frequencies")
 
