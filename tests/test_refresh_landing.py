@@ -126,6 +126,19 @@ def test_digest_counts_repeats_and_places_of_nulls(spark):
     assert len(set(different)) == 4
 
 
+def test_digest_is_the_exact_sum_of_hashes(spark):
+    numbers = [2**63 - 1, 2**63 - 1, 2**63 - 1, -(2**63), -1, 0, 1, 2**44, -(2**44) - 1, 2**22 - 1, -(2**22)]
+    frame = spark.createDataFrame([(n,) for n in numbers], "n long")
+    total = frame.agg(storage._exact_sum(F.col("n")).cast("string").alias("s"))
+    assert total.first().s == str(sum(numbers))
+    source = spark.range(1000).select(F.lit(2025).alias("year"), (F.col("id") % 2).cast("int").alias("month"), "id")
+    hashes = source.select("month", F.xxhash64("id", F.col("id").isNull()).alias("h")).collect()
+    found = storage.month_digests(source)
+    assert {r.month: int(r.digest) for r in found.collect()} == {m: sum(r.h for r in hashes if r.month == m) for m in (0, 1)}
+    # No decimal a row: sums of longs only.
+    assert "sum(cast(xxhash64" not in formatted_plan(found)
+
+
 def landing(spark, *values):
     found = [(s, p and dt.datetime(*p), i) for s, p, i in values]
     return spark.createDataFrame(found, f"source_file string, {KIND}")

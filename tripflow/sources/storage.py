@@ -336,8 +336,16 @@ def pending_partitions(source_months: DataFrame, ledger: DataFrame, match: tuple
 def month_digests(source: DataFrame) -> DataFrame:
     """Rows and an order-free digest of all values per month. Equal rows count each; where nulls are counts too."""
     values = [F.col(f"`{c}`") for c in source.columns if c not in PARTITIONS]
-    row_hash = F.xxhash64(*values, *[v.isNull() for v in values]).cast("decimal(38,0)")
-    return source.groupBy(*PARTITIONS).agg(F.count("*").alias("rows"), F.sum(row_hash).cast("string").alias("digest"))
+    row_hash = F.xxhash64(*values, *[v.isNull() for v in values])
+    return source.groupBy(*PARTITIONS).agg(F.count("*").alias("rows"), _exact_sum(row_hash).cast("string").alias("digest"))
+
+
+def _exact_sum(number: Column) -> Column:
+    """Sum of longs as a decimal that cannot overflow: three parts of 22 bits, as a sum of decimals costs an object a row."""
+    part = F.lit((1 << 22) - 1)
+    parts = (F.shiftright(number, 44), F.shiftright(number, 22).bitwiseAND(part), number.bitwiseAND(part))
+    high, middle, low = (F.sum(p).cast("decimal(19,0)") for p in parts)
+    return (high * F.lit(1 << 44) + middle * F.lit(1 << 22) + low).cast("decimal(38,0)")
 
 
 def month_files(source: DataFrame) -> DataFrame | None:
