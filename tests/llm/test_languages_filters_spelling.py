@@ -332,6 +332,24 @@ def test_spelling_of_a_table_equals_brute_force(spark, sf):
         assert form == (best if best and n[best] >= 10 * n[w] else None) and form_n == (n[form] if form else None)
 
 
+def test_spelling_broadcasts_no_words_however_small_their_files(spark, monkeypatch):
+    plans, kept = [], common.stored
+
+    def stored(df, name):
+        # The plan that ran, with what Spark changed on the way.
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(common, "stored", stored)
+    docs = spark.createDataFrame([(i, "separate seperate " + "separate " * 20) for i in range(4)], "doc_id long, text string")
+    found = spelling.variants(docs)
+    rows = {r["word"]: r["root"] for r in found.collect()}
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert rows == {"separate": "separate", "seperate": "separate"}
+    assert sum("Join" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_spelling_of_nothing(spark):
     docs = spark.createDataFrame([(1, "short words only"), (2, None)], "doc_id long, text string")
     assert spelling.variants(docs).count() == 0

@@ -8,6 +8,9 @@ the first or the last ``m`` letters, ``m`` half the shorter length; the signatur
 anagrams and words of the same syllables apart. Equal signatures are joined, and the join itself compares the
 words, so that only near pairs leave it: no group's pairs are written out.
 
+All joins are asked to sort and merge. Spark takes signatures for about as large as the words' files, though a word has
+about nine of them, and words in files for about as large as these, though they are compressed: it would broadcast a gigabyte through the driver.
+
 A word's chain of forms has at most 19 words, as counts grow tenfold at each step, and is followed
 by pointer doubling over written tables.
 
@@ -100,7 +103,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         & (F.levenshtein("l.word", "h.word", 1) == 1)
     )
     return (
-        low.join(high, near)
+        low.join(high.hint("merge"), near)
         .select(F.col("l.word").alias("low"), F.col("l.n").alias("low_n"), F.col("h.word").alias("high"), F.col("h.n").alias("high_n"))
         .distinct()
     )
@@ -120,7 +123,7 @@ def forms(words: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n_near"), best.alias("best"))
     )
     is_form = -F.col("best.minus") >= TIMES * F.col("n")
-    return words.join(near, "word", "left").select(
+    return words.join(near.hint("merge"), "word", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -136,7 +139,7 @@ def roots(formed: DataFrame) -> DataFrame:
         ahead = found.select(F.col("word").alias("root"), F.col("root").alias("_next"))
         # Twice as far along the chain each turn. A word has few near ones, so no root is a hot key.
         further = common.stored(
-            found.join(ahead, "root", "left").select(
+            found.join(ahead.hint("merge"), "root", "left").select(
                 "word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved")
             ),
             "spelling-roots",
@@ -150,7 +153,7 @@ def variants(documents: DataFrame) -> DataFrame:
     """Every word with its near words' number, form and root. ``documents`` has doc_id and text."""
     words = common.stored(word_counts(documents.select("doc_id", "text")), "spelling-words")
     formed = common.stored(forms(words), "spelling-forms")
-    return formed.join(roots(formed), "word", "left").select(
+    return formed.join(roots(formed).hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 
